@@ -45,14 +45,14 @@ def scratch_root(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``.  Only a local-mode session may fall back to
     a temporary folder of the machine.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="lakefold-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="lakefold-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def new_scratch(spark: SparkSession, name: str) -> str:

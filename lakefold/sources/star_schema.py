@@ -1,0 +1,193 @@
+"""The three entities, their change logs and their wire events, derived from star-schema tables.
+
+The tables are ``customer``, ``orders``, ``lineitem`` and ``part``.  They stand in for a captured
+database when no change topic is at hand: every query and test input is a projection of whole
+tables, so it grows with them.  Each event list is built row by row from one scan.
+"""
+
+from __future__ import annotations
+
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakefold.entities import Entity
+
+# --- Fixed values of the mapping; the SQL oracle repeats them. ---------------------------------
+
+FIRST_EVENT_MS = 1_704_067_200_000
+FIRST_REGISTRATION = "1995-01-01"
+REGISTRATION_MONTHS = 24
+CANCELLED_EVERY = 10
+UPDATED_EVERY = 3
+TIED_EVERY = 9
+DELETED_EVERY = 11
+RETURNED_FLAG = "R"
+
+# -----------------------------------------------------------------------------------------------
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    months = (F.col("c_custkey") % REGISTRATION_MONTHS).cast("int")
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("customer_id"),
+        F.col("c_name").alias("first_name"),
+        F.col("c_mktsegment").alias("last_name"),
+        F.concat("c_name", F.lit("@example.org")).alias("email"),
+        F.add_months(F.lit(FIRST_REGISTRATION).cast("date"), months).alias("registration_date"),
+    )
+
+
+def _order_status() -> Column:
+    return (
+        F.when(F.col("o_orderkey") % CANCELLED_EVERY == 0, "cancelled")
+        .when(F.col("o_orderstatus") == "F", "delivered")
+        .when(F.col("o_orderstatus") == "O", "shipped")
+        .otherwise("processing")
+    )
+
+
+def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderdate").alias("order_date"),
+        _order_status().alias("status"),
+        F.col("o_totalprice").cast("decimal(12,2)").alias("total_amount"),
+    )
+
+
+def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with the name and list price of their part.  ``item_id`` joins order and line number;
+    lines that share it are taken as versions of one item in the change log."""
+    priced = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
+    lines = table(spark, sf_dir, "lineitem")
+    return lines.join(priced, lines.l_partkey == priced.p_partkey).select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("item_id"),
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_partkey").cast("string").alias("product_id"),
+        F.col("p_name").alias("product_name"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price"),
+        F.col("l_discount").cast("decimal(5,2)").alias("discount"),
+    )
+
+
+def _event(columns: dict[str, Column], op: str, ts_ms: Column, lsn: Column) -> Column:
+    meta = {
+        "__op": F.lit(op),
+        "__source_ts_ms": ts_ms.cast("bigint"),
+        "__lsn": lsn.cast("bigint"),
+        "__deleted": F.lit("true" if op == "d" else "false"),
+    }
+    return F.struct(*(c.alias(n) for n, c in {**columns, **meta}.items()))
+
+
+def _event_rows(df: DataFrame, *events: Column) -> DataFrame:
+    """One output row per event that is not null."""
+    present = F.filter(F.array(*events), lambda e: e.isNotNull())
+    return df.select(F.explode(present).alias("e")).select("e.*").withColumn(
+        "is_deleted", F.col("__deleted") == "true"
+    )
+
+
+def customer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot read of every customer."""
+    key = F.col("customer_id")
+    columns = {c: F.col(c) for c in ("customer_id", "first_name", "last_name", "email")}
+    registered = F.unix_micros(F.col("registration_date").cast("timestamp"))
+    columns["registration_date"] = registered
+    return _event_rows(
+        customers(spark, sf_dir), _event(columns, "r", F.lit(FIRST_EVENT_MS), key)
+    )
+
+
+def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Create every order; update some, at times within the same millisecond; delete some."""
+    key, total = F.col("order_id"), F.col("total_amount")
+    start = F.lit(FIRST_EVENT_MS) + key * 1000
+
+    def columns(amount: Column) -> dict[str, Column]:
+        return {
+            "order_id": key,
+            "customer_id": F.col("customer_id"),
+            "order_date": F.col("order_date"),
+            "status": F.col("status"),
+            "total_amount": amount.cast("decimal(12,2)"),
+        }
+
+    tie = F.when(key % TIED_EVERY == 0, 0).otherwise(5)
+    updated = _event(columns(total + F.lit(Decimal(1))), "u", start + tie, key * 4 + 1)
+    deleted = _event(columns(total), "d", start + 9, key * 4 + 2)
+    return _event_rows(
+        orders(spark, sf_dir),
+        _event(columns(total), "c", start, key * 4),
+        F.when(key % UPDATED_EVERY == 0, updated),
+        F.when(key % DELETED_EVERY == 0, deleted),
+    )
+
+
+def order_item_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Create every line; delete the returned ones.
+
+    The sequence number is made of price, discount and line number, which tell the lines of an
+    order apart, so folding by any key has no ties.
+    """
+    order, line = F.col("l_orderkey"), F.col("l_linenumber")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    percent = F.round(F.col("l_discount") * 100).cast("bigint")
+    lsn = (cents * 100 + percent) * 100 + line * 10
+    columns = {
+        "item_id": order * 10 + line,
+        "order_id": order,
+        "product_id": F.col("l_partkey").cast("string"),
+        "quantity": F.col("l_quantity").cast("int"),
+        "discount": F.col("l_discount").cast("decimal(5,2)"),
+    }
+    start = F.lit(FIRST_EVENT_MS) + order * 1000
+    return _event_rows(
+        table(spark, sf_dir, "lineitem"),
+        _event(columns, "c", start, lsn),
+        F.when(
+            F.col("l_returnflag") == RETURNED_FLAG, _event(columns, "d", start + line, lsn + 1)
+        ),
+    )
+
+
+def _numeric_bytes(amount: Column) -> Column:
+    """Base64 of the shortest two's complement bytes that hold a non-negative amount."""
+    digits = F.hex((amount * 100).cast("bigint"))
+    padded = F.when(F.length(digits) % 2 == 1, F.concat(F.lit("0"), digits)).otherwise(digits)
+    signed = F.when(F.substring(padded, 1, 1) >= "8", F.concat(F.lit("00"), padded)).otherwise(padded)
+    return F.base64(F.unhex(signed))
+
+
+def wire_events(log: DataFrame, entity: Entity) -> DataFrame:
+    """A change log as broker messages: ``value`` and the broker's ``timestamp``.
+
+    Keeps the wire columns that the log has, with instants in microseconds and money in bytes.
+    """
+    columns = []
+    for name in [part.split()[0] for part in entity.wire_schema.split(",")]:
+        if name not in log.columns:
+            continue
+        value = F.col(name)
+        if name in entity.money:
+            value = _numeric_bytes(value)
+        elif name in entity.epoch_micros and not isinstance_long(log, name):
+            value = F.unix_micros(value.cast("timestamp"))
+        columns.append(value.alias(name))
+    payload = F.struct(*columns, F.lit(entity.name).alias("__table")).alias("payload")
+    return log.select(
+        F.to_json(F.struct(payload)).cast("binary").alias("value"),
+        F.timestamp_millis("__source_ts_ms").alias("timestamp"),
+    )
+
+
+def isinstance_long(df: DataFrame, name: str) -> bool:
+    return df.schema[name].dataType.typeName() == "long"
