@@ -10,8 +10,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import types as T
-
 # --- Fixed values: names and types that come with the change events. ---------------------------
 
 CHANGE_METADATA = "__deleted STRING, __op STRING, __table STRING, __lsn BIGINT, __source_ts_ms BIGINT"
@@ -73,6 +71,19 @@ class Entity:
         """DDL of the JSON payload."""
         return f"{self.columns}, {CHANGE_METADATA}"
 
+    @property
+    def processed_schema(self) -> str:
+        """DDL of the cleaned business columns and change metadata."""
+        fields = []
+        for field_ddl in self.wire_schema.split(","):
+            name, kind = field_ddl.split()
+            if name in self.epoch_micros:
+                kind = "TIMESTAMP"
+            elif name in self.money:
+                kind = "DECIMAL({},{})".format(*self.money[name])
+            fields.append(f"{name} {kind}")
+        return ", ".join(fields)
+
     @property
     def topic(self) -> str:
         return f"{TOPIC_PREFIX}.{self.name}"
@@ -124,8 +135,3 @@ FOREIGN_KEYS = (
     ("orders", "customer_id", "customers", "customer_id"),
     ("order_items", "order_id", "orders", "order_id"),
 )
-
-
-def wire_struct(entity: Entity) -> T.StructType:
-    """The payload schema as a ``StructType`` (needs an active session)."""
-    return T.StructType.fromDDL(entity.wire_schema)

@@ -62,20 +62,30 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines with the name and list price of their part.  ``item_id`` joins order and line number;
-    lines that share it are taken as versions of one item in the change log."""
-    priced = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
+def priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     lines = table(spark, sf_dir, "lineitem")
-    return lines.join(priced, lines.l_partkey == priced.p_partkey).select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("item_id"),
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").cast("string").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price"),
-        F.col("l_discount").cast("decimal(5,2)").alias("discount"),
-    )
+    return lines.join(parts, lines.l_partkey == parts.p_partkey)
+
+
+def _item_columns() -> dict[str, Column]:
+    """``item_id`` joins order and line number; lines that share it are taken as versions of one
+    item in the change log."""
+    return {
+        "item_id": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
+        "order_id": F.col("l_orderkey"),
+        "product_id": F.col("l_partkey").cast("string"),
+        "product_name": F.col("p_name"),
+        "quantity": F.col("l_quantity").cast("int"),
+        "unit_price": F.col("p_retailprice").cast("decimal(10,2)"),
+        "discount": F.col("l_discount").cast("decimal(5,2)"),
+    }
+
+
+def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with the name and list price of their part."""
+    columns = _item_columns()
+    return priced_lines(spark, sf_dir).select(*(c.alias(n) for n, c in columns.items()))
 
 
 def _event(columns: dict[str, Column], op: str, ts_ms: Column, lsn: Column) -> Column:
@@ -99,9 +109,7 @@ def _event_rows(df: DataFrame, *events: Column) -> DataFrame:
 def customer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A snapshot read of every customer."""
     key = F.col("customer_id")
-    columns = {c: F.col(c) for c in ("customer_id", "first_name", "last_name", "email")}
-    registered = F.unix_micros(F.col("registration_date").cast("timestamp"))
-    columns["registration_date"] = registered
+    columns = {c: F.col(c) for c in ("customer_id", "first_name", "last_name", "email", "registration_date")}
     return _event_rows(
         customers(spark, sf_dir), _event(columns, "r", F.lit(FIRST_EVENT_MS), key)
     )
@@ -138,24 +146,18 @@ def order_item_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     The sequence number is made of price, discount and line number, which tell the lines of an
     order apart, so folding by any key has no ties.
     """
-    order, line = F.col("l_orderkey"), F.col("l_linenumber")
+    line = F.col("l_linenumber")
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     percent = F.round(F.col("l_discount") * 100).cast("bigint")
     lsn = (cents * 100 + percent) * 100 + line * 10
-    columns = {
-        "item_id": order * 10 + line,
-        "order_id": order,
-        "product_id": F.col("l_partkey").cast("string"),
-        "quantity": F.col("l_quantity").cast("int"),
-        "discount": F.col("l_discount").cast("decimal(5,2)"),
-    }
-    start = F.lit(FIRST_EVENT_MS) + order * 1000
+    names = ("item_id", "order_id", "product_id", "product_name", "quantity", "unit_price", "discount")
+    columns = {name: F.col(name) for name in names}
+    start = F.lit(FIRST_EVENT_MS) + F.col("order_id") * 1000
+    returned = F.col("l_returnflag") == RETURNED_FLAG
     return _event_rows(
-        table(spark, sf_dir, "lineitem"),
+        priced_lines(spark, sf_dir).withColumns(_item_columns()),
         _event(columns, "c", start, lsn),
-        F.when(
-            F.col("l_returnflag") == RETURNED_FLAG, _event(columns, "d", start + line, lsn + 1)
-        ),
+        F.when(returned, _event(columns, "d", start + line, lsn + 1)),
     )
 
 
@@ -179,7 +181,7 @@ def wire_events(log: DataFrame, entity: Entity) -> DataFrame:
         value = F.col(name)
         if name in entity.money:
             value = _numeric_bytes(value)
-        elif name in entity.epoch_micros and not isinstance_long(log, name):
+        elif name in entity.epoch_micros:
             value = F.unix_micros(value.cast("timestamp"))
         columns.append(value.alias(name))
     payload = F.struct(*columns, F.lit(entity.name).alias("__table")).alias("payload")
@@ -189,5 +191,23 @@ def wire_events(log: DataFrame, entity: Entity) -> DataFrame:
     )
 
 
-def isinstance_long(df: DataFrame, name: str) -> bool:
-    return df.schema[name].dataType.typeName() == "long"
+def damaged_order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A create event for every order, six of seven of them damaged in a different way each."""
+    order = F.col("o_orderkey")
+    kind = order % 7
+    tail = F.lit('"__lsn":1,"__source_ts_ms":1704067200000}}')
+    start = F.concat(F.lit('{"payload":{"order_id":'), order.cast("string"), F.lit(","))
+    op = F.lit('"__op":"c",')
+    text = (
+        F.when(kind == 1, F.lit(None).cast("string"))
+        .when(kind == 2, F.concat(F.lit("not json "), order.cast("string")))
+        .when(kind == 3, F.concat(F.lit('{"payload":null,"id":'), order.cast("string"), F.lit("}")))
+        .when(kind == 4, F.concat(F.lit('{"payload":{'), op, tail))
+        .when(kind == 5, F.concat(start, tail))
+        .when(kind == 6, F.concat(start, F.lit('"total_amount":"AAAAAAAAAAAB",'), op, tail))
+        .otherwise(F.concat(start, op, tail))
+    )
+    return table(spark, sf_dir, "orders").select(
+        text.cast("binary").alias("value"),
+        F.timestamp_millis(F.lit(FIRST_EVENT_MS) + order).alias("timestamp"),
+    )
