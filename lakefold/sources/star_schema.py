@@ -2,7 +2,7 @@
 
 The tables are ``customer``, ``orders``, ``lineitem`` and ``part``.  They stand in for a captured
 database when no change topic is at hand: every query and test input is a projection of whole
-tables, so it grows with them.  Each event list is built row by row from one scan.
+tables, so it grows with them.  A log is built from one scan, without a shuffle.
 """
 
 from __future__ import annotations
@@ -25,11 +25,27 @@ TIED_EVERY = 9
 DELETED_EVERY = 11
 RETURNED_FLAG = "R"
 
+SCHEMAS = {
+    "customer":
+        "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "orders":
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+        "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem":
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+        "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+        "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "part":
+        "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+        "p_retailprice DOUBLE",
+}
+
 # -----------------------------------------------------------------------------------------------
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table by its known schema, so that no file is opened to plan a query."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +79,9 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
+    """Lines with name and list price; the price is converted per part, not per line."""
+    price = F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price")
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", price)
     lines = table(spark, sf_dir, "lineitem")
     return lines.join(parts, lines.l_partkey == parts.p_partkey)
 
@@ -77,7 +95,7 @@ def _item_columns() -> dict[str, Column]:
         "product_id": F.col("l_partkey").cast("string"),
         "product_name": F.col("p_name"),
         "quantity": F.col("l_quantity").cast("int"),
-        "unit_price": F.col("p_retailprice").cast("decimal(10,2)"),
+        "unit_price": F.col("unit_price"),
         "discount": F.col("l_discount").cast("decimal(5,2)"),
     }
 
@@ -88,55 +106,52 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return priced_lines(spark, sf_dir).select(*(c.alias(n) for n, c in columns.items()))
 
 
-def _event(columns: dict[str, Column], op: str, ts_ms: Column, lsn: Column) -> Column:
-    meta = {
-        "__op": F.lit(op),
+def _with_operations(df: DataFrame, *operations: Column) -> DataFrame:
+    """One row per operation that is not null; the other columns stay outside the generated array,
+    so that unused ones are pruned."""
+    changes = df.withColumn("__op", F.explode(F.array(*operations)))
+    return changes.filter(F.col("__op").isNotNull())
+
+
+def _change_metadata(ts_ms: Column, lsn: Column) -> dict[str, Column]:
+    deletes = F.col("__op") == "d"
+    return {
         "__source_ts_ms": ts_ms.cast("bigint"),
         "__lsn": lsn.cast("bigint"),
-        "__deleted": F.lit("true" if op == "d" else "false"),
+        "__deleted": F.when(deletes, "true").otherwise("false"),
+        "is_deleted": deletes,
     }
-    return F.struct(*(c.alias(n) for n, c in {**columns, **meta}.items()))
 
 
-def _event_rows(df: DataFrame, *events: Column) -> DataFrame:
-    """One output row per event that is not null."""
-    present = F.filter(F.array(*events), lambda e: e.isNotNull())
-    return df.select(F.explode(present).alias("e")).select("e.*").withColumn(
-        "is_deleted", F.col("__deleted") == "true"
-    )
+def _by_operation(**values: Column | int) -> Column:
+    """The value given for the row's operation."""
+    chosen = F.lit(None)
+    for op, value in values.items():
+        chosen = F.when(F.col("__op") == op, value).otherwise(chosen)
+    return chosen
 
 
 def customer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A snapshot read of every customer."""
-    key = F.col("customer_id")
-    columns = {c: F.col(c) for c in ("customer_id", "first_name", "last_name", "email", "registration_date")}
-    return _event_rows(
-        customers(spark, sf_dir), _event(columns, "r", F.lit(FIRST_EVENT_MS), key)
-    )
+    metadata = _change_metadata(F.lit(FIRST_EVENT_MS), F.col("customer_id"))
+    return customers(spark, sf_dir).withColumn("__op", F.lit("r")).withColumns(metadata)
 
 
 def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Create every order; update some, at times within the same millisecond; delete some."""
     key, total = F.col("order_id"), F.col("total_amount")
-    start = F.lit(FIRST_EVENT_MS) + key * 1000
-
-    def columns(amount: Column) -> dict[str, Column]:
-        return {
-            "order_id": key,
-            "customer_id": F.col("customer_id"),
-            "order_date": F.col("order_date"),
-            "status": F.col("status"),
-            "total_amount": amount.cast("decimal(12,2)"),
-        }
-
-    tie = F.when(key % TIED_EVERY == 0, 0).otherwise(5)
-    updated = _event(columns(total + F.lit(Decimal(1))), "u", start + tie, key * 4 + 1)
-    deleted = _event(columns(total), "d", start + 9, key * 4 + 2)
-    return _event_rows(
+    changes = _with_operations(
         orders(spark, sf_dir),
-        _event(columns(total), "c", start, key * 4),
-        F.when(key % UPDATED_EVERY == 0, updated),
-        F.when(key % DELETED_EVERY == 0, deleted),
+        F.lit("c"),
+        F.when(key % UPDATED_EVERY == 0, "u"),
+        F.when(key % DELETED_EVERY == 0, "d"),
+    )
+    updated_after = F.when(key % TIED_EVERY == 0, 0).otherwise(5)
+    ts_ms = F.lit(FIRST_EVENT_MS) + key * 1000 + _by_operation(c=0, u=updated_after, d=9)
+    lsn = key * 4 + _by_operation(c=0, u=1, d=2)
+    raised = F.when(F.col("__op") == "u", total + F.lit(Decimal(1))).otherwise(total)
+    return changes.withColumns(_change_metadata(ts_ms, lsn)).withColumn(
+        "total_amount", raised.cast("decimal(12,2)")
     )
 
 
@@ -149,16 +164,16 @@ def order_item_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.col("l_linenumber")
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     percent = F.round(F.col("l_discount") * 100).cast("bigint")
-    lsn = (cents * 100 + percent) * 100 + line * 10
-    names = ("item_id", "order_id", "product_id", "product_name", "quantity", "unit_price", "discount")
-    columns = {name: F.col(name) for name in names}
-    start = F.lit(FIRST_EVENT_MS) + F.col("order_id") * 1000
-    returned = F.col("l_returnflag") == RETURNED_FLAG
-    return _event_rows(
-        priced_lines(spark, sf_dir).withColumns(_item_columns()),
-        _event(columns, "c", start, lsn),
-        F.when(returned, _event(columns, "d", start + line, lsn + 1)),
+    lsn = (cents * 100 + percent) * 100 + line * 10 + _by_operation(c=0, d=1)
+    ts_ms = F.lit(FIRST_EVENT_MS) + F.col("l_orderkey") * 1000 + _by_operation(c=0, d=line)
+    changes = _with_operations(
+        priced_lines(spark, sf_dir),
+        F.lit("c"),
+        F.when(F.col("l_returnflag") == RETURNED_FLAG, "d"),
     )
+    metadata = _change_metadata(ts_ms, lsn)
+    columns = {**_item_columns(), "__op": F.col("__op"), **metadata}
+    return changes.select(*(c.alias(name) for name, c in columns.items()))
 
 
 def _numeric_bytes(amount: Column) -> Column:
