@@ -30,6 +30,8 @@ def run_ingest(
     run over what is available ends when all queries have finished.
     """
     queries = []
+    # Forget queries that ended earlier in this session, or the wait would return at once.
+    spark.streams.resetTerminated()
     try:
         for entity in entities:
             queries.append(start_ingest(spark, config, entity))
