@@ -52,6 +52,8 @@ class BatchConfig:
 
     ``keys`` replaces the fold key of an entity, for instance by ``ORDER_PRODUCT_KEY``.
     ``keep_state`` stores the fold between runs and needs ``follow`` to be ``arrival``.
+    ``metrics_root`` is the stream's and keeps the job off the batch being written; None is for a
+    raw area that nobody writes to meanwhile.
     """
 
     raw_root: str
@@ -59,6 +61,7 @@ class BatchConfig:
     results_root: str
     positions: str
     state_root: str
+    metrics_root: str | None = None
     follow: str = BY_ARRIVAL
     keep_state: bool = True
     keys: Mapping[str, Sequence[str]] = field(default_factory=dict)
@@ -74,7 +77,13 @@ def run_batch(spark: SparkSession, config: BatchConfig) -> dict[str, DataFrame]:
     """
     for entity in ENTITIES.values():
         process_changes(
-            spark, entity, config.raw_root, config.processed_root, config.positions, config.follow
+            spark,
+            entity,
+            config.raw_root,
+            config.processed_root,
+            config.positions,
+            config.follow,
+            config.metrics_root,
         )
     state = {name: _current(spark, config, entity) for name, entity in ENTITIES.items()}
     results = write_profile(spark, config)

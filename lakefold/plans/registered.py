@@ -19,8 +19,8 @@ from lakefold.session import new_scratch
 from lakefold.sinks.tables import read_result_csv, write_result
 from lakefold.sources import star_schema as star
 from lakefold.sources.events import FileEvents
-from lakefold.sources.lake import incremental_since, read_raw
-from lakefold.streaming.ingest import IngestConfig, ingest_totals, read_metrics
+from lakefold.sources.lake import incremental_since, read_metrics, read_raw
+from lakefold.streaming.ingest import IngestConfig, ingest_totals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -184,8 +184,7 @@ def incremental_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes after the mean source time, and the next high-water mark, per operation."""
     log = star.order_log(spark, sf_dir)
     mark = log.agg(F.floor(F.avg("__source_ts_ms")).alias("mark")).scalar()
-    newer = log.filter(F.col("__source_ts_ms") > mark)
-    return newer.groupBy(F.col("__op").alias("op")).agg(
+    return incremental_since(log, mark).groupBy(F.col("__op").alias("op")).agg(
         F.count("*").alias("changes"), F.max("__source_ts_ms").alias("next_mark")
     )
 
@@ -211,6 +210,7 @@ def _batch_config(root: str, **changes) -> BatchConfig:
         results_root=root,
         positions=f"{root}/positions",
         state_root=f"{root}/state",
+        metrics_root=f"{root}/metrics",
         **changes,
     )
 

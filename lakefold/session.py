@@ -16,6 +16,9 @@ JOB_SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Overwriting a partitioned table replaces only the partitions that the job writes.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Old deduplication state is dropped with the next events; an empty batch just for that would
+    # only leave an empty directory.
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     # Deduplication state outgrows the heap on a busy topic.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

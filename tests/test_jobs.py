@@ -4,7 +4,6 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
-from pyspark.errors import AnalysisException
 
 from lakefold.__main__ import batch_config, ingest_config, parse
 from lakefold.entities import CUSTOMERS, ENTITIES, ORDER_ITEMS, ORDERS
@@ -18,7 +17,7 @@ from lakefold.plans.processing import (
     process_changes,
 )
 from lakefold.sources.events import MESSAGE_SCHEMA, FileEvents
-from lakefold.sources.lake import read_if_present, read_position, read_processed
+from lakefold.sources.lake import path_exists, read_position, read_processed
 from lakefold.streaming.ingest import IngestConfig
 
 DAY_US = 86_400_000_000
@@ -139,8 +138,6 @@ def test_only_a_missing_position_table_means_start(spark, root):
     spark.createDataFrame([("x",)], "a string").write.text(f"{root}/bad")
     with pytest.raises(Exception):
         read_position(spark, f"{root}/bad", "orders")
-    with pytest.raises(AnalysisException):
-        read_if_present(spark, f"{root}/bad", "a unknown_type")
 
 
 def shop(spark, root):
@@ -166,7 +163,8 @@ def shop(spark, root):
 def batch(root, **changes):
     return BatchConfig(
         raw_root=f"{root}/raw", processed_root=f"{root}/processed", results_root=root,
-        positions=f"{root}/positions", state_root=f"{root}/state", **changes,
+        positions=f"{root}/positions", state_root=f"{root}/state",
+        metrics_root=f"{root}/metrics", **changes,
     )
 
 
@@ -206,7 +204,7 @@ def test_missing_entity_stops_before_any_report(spark, root):
     ingest(spark, root, ORDERS)
     with pytest.raises(FileNotFoundError):
         run_batch(spark, batch(root))
-    assert read_if_present(spark, f"{root}/analytics/daily_sales") is None
+    assert not path_exists(spark, f"{root}/analytics")
 
 
 def test_constraint_audit_counts_violations(spark):
