@@ -17,14 +17,15 @@ w as (
 ),
 o as (select *, row_number() over (order by source_size / weight, source nulls last) as place from w),
 levels as (
-  select a.place, (select sum(source_size) from o) as total,
-    (total - 3 * coalesce(sum(b.source_size), 0)) / ((select sum(weight) from o) - coalesce(sum(b.weight), 0)) as level,
-    level * any_value(a.weight) <= 3 * any_value(a.source_size) as fits
+  select a.place,
+    ((select sum(source_size) from o) - 3 * coalesce(sum(b.source_size), 0))::double
+      / ((select sum(weight) from o) - coalesce(sum(b.weight), 0)) as level,
+    any_value(a.weight) as weight, any_value(a.source_size) as source_size
   from o a left join o b on b.place < a.place group by a.place
 ),
 targets as (
   select source, source_size,
-    least(3.0::double * source_size, weight * (select level from levels where fits order by place limit 1)) as target
+    least(3.0::double * source_size, weight * (select level from levels where level * weight <= 3 * source_size order by place limit 1)) as target
   from o
 ),
 """
@@ -43,6 +44,48 @@ from rated
 """
 )
 
+_LINES = r"""
+lines as (
+  select doc_id, place, line, lower_ascii as key from (
+    select doc_id, place, line,
+      translate(trim(line, E' \t\n\x0b\x0c\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as lower_ascii
+    from (
+      select doc_id, unnest(parts) as line, generate_subscripts(parts, 1) as place
+      from (select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from {documents})
+    )
+  )
+),
+firsts as (select key, min(doc_id) as first_doc from lines where length(key) >= 10 group by key),
+judged as (
+  select lines.*, coalesce(first_doc < doc_id, false) as dropped from lines left join firsts on lines.key = firsts.key
+)
+"""
+
+_LINE_DEDUP = "with " + _LINES + """
+select doc_id, count(*) as n_lines, cast(sum(dropped::int) as bigint) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by place) filter (not dropped), '')) as kept_sha256
+from judged group by doc_id
+"""
+
+# Base32 of the 40 hexadecimal digits of a SHA-1, five digits (20 bits) at a time.
+_WARC = """
+with p as (select page_id, coalesce(html, '') as html from pages),
+h as (select page_id, strlen(html) as payload_bytes, sha1(html) as hex from p),
+d as (
+  select page_id, payload_bytes, array_to_string([
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::bigint >> (15 - 5 * (i % 4))) & 31)::int, 1)
+    for i in range(32)], '') as payload_digest
+  from h
+),
+f as (select *, min(page_id) over (partition by payload_digest) as first_page from d)
+select page_id, cast(payload_bytes as bigint) as payload_bytes, payload_digest,
+  case when page_id = first_page then 'response' else 'revisit' end as record_type,
+  case when page_id <> first_page then first_page end as refers_to
+from f
+"""
+
 ORACLE: dict[str, str] = {
+    "op6_line_dedup": _LINE_DEDUP.format(documents="documents"),
     "op8_mix_sources": _MIX.format(documents="documents"),
+    "op10_warc": _WARC,
 }

@@ -7,18 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakefold.llm import mixing
+from lakefold.llm import line_dedup, mixing, warc
 from lakefold.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
     )
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"), "refers_to"
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op6_line_dedup": op6_line_dedup,
     "op8_mix_sources": op8_mix_sources,
+    "op10_warc": op10_warc,
 }
