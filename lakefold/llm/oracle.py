@@ -84,8 +84,44 @@ select page_id, cast(payload_bytes as bigint) as payload_bytes, payload_digest,
 from f
 """
 
+# Every window of every item, looked up at every word of every document.
+_HITS = r"""
+item_words as (
+  select item_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark
+),
+doc_words as (
+  select doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from {documents}
+),
+windows as (
+  select item_id, n, array_to_string(w[s : s + n - 1], ' ') as phrase
+  from (select *, least(len(w), 10) as n, unnest(range(1, greatest(len(w) - 8, 2))) as s from item_words where len(w) > 0)
+),
+starts as (
+  select doc_id, s, n, array_to_string(w[s : s + n - 1], ' ') as phrase
+  from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as s
+    from doc_words, (select distinct n from windows) where len(w) >= n)
+),
+matches as (select doc_id, item_id, s, n from starts join windows using (n, phrase))
+"""
+
+_DECONTAMINATE = "with " + _HITS + """,
+hit as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(s, s + n)) as p from matches) group by doc_id),
+found as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct doc_id, cast(item_id as varchar) as item from matches) group by doc_id
+)
+select d.doc_id, cast(coalesce(len(w), 0) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from doc_words d left join hit on d.doc_id = hit.doc_id left join found on d.doc_id = found.doc_id
+"""
+
 ORACLE: dict[str, str] = {
     "op6_line_dedup": _LINE_DEDUP.format(documents="documents"),
+    "op7_decontaminate": _DECONTAMINATE.format(documents="documents"),
     "op8_mix_sources": _MIX.format(documents="documents"),
     "op10_warc": _WARC,
 }
