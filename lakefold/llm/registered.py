@@ -7,12 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakefold.llm import decontaminate, line_dedup, mixing, warc
+from lakefold.llm import decontaminate, language_id, line_dedup, mixing, secrets, warc
 from lakefold.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = language_id.fit(documents.select("doc_id", "text", "lang"))
+    return language_id.predict(
+        documents.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "text"), model
+    ).drop("text")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
@@ -33,6 +41,10 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"), "refers_to"
@@ -40,8 +52,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op5_language_id": op5_language_id,
     "op6_line_dedup": op6_line_dedup,
     "op7_decontaminate": op7_decontaminate,
     "op8_mix_sources": op8_mix_sources,
+    "op9_secrets": op9_secrets,
     "op10_warc": op10_warc,
 }
