@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakefold.llm import decontaminate, language_id, line_dedup, mixing, secrets, warc
+from lakefold.llm import decontaminate, embedding_dedup, language_id, line_dedup, mixing, secrets, warc
 from lakefold.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = language_id.fit(documents.select("doc_id", "text", "lang"))
@@ -52,6 +56,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op5_language_id": op5_language_id,
     "op6_line_dedup": op6_line_dedup,
     "op7_decontaminate": op7_decontaminate,
