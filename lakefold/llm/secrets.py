@@ -17,7 +17,6 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -185,16 +184,29 @@ def _determined(nfa: _Nfa, starts: set[int], ends: list[int], everywhere: bool)
     )
 
 
-@lru_cache(maxsize=4)
-def compiled(rules: tuple[Rule, ...]) -> tuple[Automaton, Automaton]:
-    """The backward automaton that runs everywhere, and the forward one that runs from a start."""
-    nfa, starts, ends = _Nfa(), [], []
+@dataclass(frozen=True)
+class Scanner:
+    """Rules with their two automata: the backward one runs everywhere, the forward one from a start."""
+
+    rules: tuple[Rule, ...]
+    backward: Automaton
+    forward: Automaton
+    first_bytes: tuple[np.ndarray, ...]
+
+
+def compiled(rules: tuple[Rule, ...] = RULES) -> Scanner:
+    nfa, starts, ends, first_bytes = _Nfa(), [], [], []
     for rule in rules:
         starts.append(nfa.state())
         ends.append(nfa.add(re._parser.parse(rule.pattern), starts[-1]))
-    return (
-        _determined(nfa.reversed(), set(ends), starts, everywhere=True),
-        _determined(nfa, set(starts), ends, everywhere=False),
+        may = np.zeros(256, bool)
+        for state in nfa.closed([starts[-1]]):
+            for wanted, _ in nfa.edges[state]:
+                may[list(wanted)] = True
+        first_bytes.append(may)
+    return Scanner(
+        rules, _determined(nfa.reversed(), set(ends), starts, everywhere=True),
+        _determined(nfa, set(starts), ends, everywhere=False), tuple(first_bytes),
     )
 
 
@@ -211,9 +223,9 @@ def _longest(forward: Automaton, text: np.ndarray, start: int, rule: int) -> int
     return end
 
 
-def scan_bytes(text: np.ndarray, rules: tuple[Rule, ...] = RULES) -> list[tuple[int, int, int]]:
+def scan_bytes(text: np.ndarray, scanner: Scanner) -> list[tuple[int, int, int]]:
     """``rule, start, end`` of all matches in bytes that may hold separators, by rule and start."""
-    backward, forward = compiled(rules)
+    backward, forward = scanner.backward, scanner.forward
     n = backward.n_symbols
     limit = int((backward.accepts != 0).sum()) * n
     flat = (backward.table * n).reshape(-1).astype(np.int32)
@@ -221,9 +233,9 @@ def scan_bytes(text: np.ndarray, rules: tuple[Rule, ...] = RULES) -> list[tuple[
     hits = np.flatnonzero(marked(symbols, flat, backward.start * n, limit)[::-1])
     found = []
     # Which rules match at a marked place is told by a run forwards from it.
-    for number, rule in enumerate(rules):
+    for number, rule in enumerate(scanner.rules):
         pattern = re.compile(rule.pattern)
-        starts = hits[_first_bytes(rule.pattern)[text[hits]]]
+        starts = hits[scanner.first_bytes[number][text[hits]]]
         place = 0
         while place < len(starts):
             start = int(starts[place])
@@ -238,18 +250,6 @@ def scan_bytes(text: np.ndarray, rules: tuple[Rule, ...] = RULES) -> list[tuple[
     return found
 
 
-@lru_cache(maxsize=16)
-def _first_bytes(pattern: bytes) -> np.ndarray:
-    nfa = _Nfa()
-    start = nfa.state()
-    nfa.add(re._parser.parse(pattern), start)
-    may = np.zeros(256, bool)
-    for state in nfa.closed([start]):
-        for wanted, _ in nfa.edges[state]:
-            may[list(wanted)] = True
-    return may
-
-
 def _document(doc: np.ndarray, matches: list[tuple[int, int, int]], rules, n_base: int) -> tuple:
     """The result columns of one document from its matches, offsets in code points."""
     before = np.concatenate([[0], np.cumsum((doc & 0xC0) != 0x80)])
@@ -263,13 +263,14 @@ def _document(doc: np.ndarray, matches: list[tuple[int, int, int]], rules, n_bas
 def find_secrets(docs: DataFrame, more: tuple[Rule, ...] = MORE) -> DataFrame:
     """``doc_id, n_assign, n_access, n_hex, base_sha256, spans``, one row per row of ``docs``."""
     rules = BASE + more
+    scanner = compiled(rules)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nothing = _document(np.zeros(0, np.uint8), [], rules, len(BASE))
         for batch in batches:
             for first, last, text, starts in text_slices(batch.column("text")):
                 by_doc: dict[int, list[tuple[int, int, int]]] = {}
-                for rule, start, end in scan_bytes(text, rules):
+                for rule, start, end in scan_bytes(text, scanner):
                     doc = int(np.searchsorted(starts, start, side="right")) - 1
                     by_doc.setdefault(doc, []).append((rule, start - int(starts[doc]), end - int(starts[doc])))
                 rows = [nothing] * (last - first)
