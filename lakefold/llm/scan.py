@@ -69,3 +69,40 @@ def marked(symbols: np.ndarray, table: np.ndarray, start: int, limit: int, lane:
         ended[wrong] = _run(table, np.ascontiguousarray(columns[:, wrong]), begun[wrong], limit, again)
         marks[:, wrong] = again
     return np.ascontiguousarray(marks.T).reshape(-1)[: len(symbols)]
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijective scramble of 64-bit numbers (the finaliser of splitmix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def multipliers(n: int, seed: int) -> np.ndarray:
+    """``n`` odd 64-bit numbers."""
+    return mixed(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)) | np.uint64(1)
+
+
+def word_hashes(text: np.ndarray, fold: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``hashes, starts, ends`` of the words in bytes; ``fold`` maps a byte to what is hashed, 0 between words."""
+    folded = fold[text]
+    inside = folded != 0
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    starts, ends = edges[::2], edges[1::2]
+    if len(starts) == 0:
+        return np.zeros(0, np.uint64), starts, ends
+    lengths = ends - starts
+    first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    place = np.arange(lengths.sum()) - np.repeat(first, lengths)
+    terms = multipliers(int(lengths.max()), 1)[place]
+    terms *= folded[inside]
+    return mixed(np.add.reduceat(terms, first) + lengths.astype(np.uint64)), starts, ends
+
+
+def fold_table(separators: bytes) -> np.ndarray:
+    """``fold`` for words between ``separators`` with A-Z lower-cased; values are the byte + 1."""
+    fold = np.arange(1, 257, dtype=np.uint64)
+    fold[ord("A") : ord("Z") + 1] += np.uint64(32)
+    fold[np.frombuffer(separators, np.uint8)] = 0
+    fold[SEPARATOR] = 0
+    return fold
