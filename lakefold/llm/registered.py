@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakefold.llm import decontaminate, embedding_dedup, language_id, line_dedup, mixing, secrets, warc
+from lakefold.llm import (
+    decontaminate, embedding_dedup, language_id, line_dedup, lm_score, mixing, ngram_join, secrets, suffix_dedup, warc,
+)
 from lakefold.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +19,19 @@ def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_copies(table(spark, sf_dir, "documents"))
+
+
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm_score.score(documents, lm_score.fit(documents))
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.find_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = language_id.fit(documents.select("doc_id", "text", "lang"))
@@ -57,6 +72,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_embedding_dedup": op1_embedding_dedup,
+    "op2_ngram_join": op2_ngram_join,
+    "op3_lm_score": op3_lm_score,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_language_id": op5_language_id,
     "op6_line_dedup": op6_line_dedup,
     "op7_decontaminate": op7_decontaminate,
