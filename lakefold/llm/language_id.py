@@ -15,7 +15,6 @@ table gives an empty result; ties go to the language first in code-point order;
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,7 +30,6 @@ UNDETERMINED = "und"
 FOLDS = 5
 SAMPLE_DOCS = 60
 SAMPLE_SYMBOLS = 24_000
-LETTER = re.compile(r"[^\W\d_]")
 BLANK = 1  # symbol of everything that is not a letter; 0 is the separator
 UNSEEN = 2  # letters that no sample has
 
@@ -170,7 +168,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             lowered = pc.utf8_lower(column)
             for first, last, text, starts in text_slices(lowered):
                 rows = batch.slice(first, last - first)
-                worded = np.array([x is not None and LETTER.search(x) is not None
+                worded = np.array([x is not None and any(map(str.isalpha, x))
                                    for x in rows.column("text").to_pylist()], bool)
                 languages = np.full(len(rows), UNDETERMINED, object)
                 score = np.zeros(len(rows))

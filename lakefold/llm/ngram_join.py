@@ -19,8 +19,8 @@ Shingles are told apart by 48 bits of a 64-bit hash in steps 2 to 4 and nodes by
 500 shingles meets a false agreement of one shingle with a chance of about 1e-9.
 
 Defined results: null or wordless text has an empty set and links with nothing (its component is itself); fewer words than a
-shingle are one shingle; null doc_ids count as one document after all others and their component is null if it has no other;
-rows sharing a doc_id share their component; an empty table gives an empty result; other columns are not read.
+shingle are one shingle; rows without doc_id link like others, and a component of only such rows is named null; repeated rows
+are copies of each other; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakefold.llm.common import written
+from lakefold.llm.common import broadcast_if_small, written
 from lakefold.llm.components import connected
 from lakefold.llm.scan import fold_table, mixed, multipliers, text_slices, word_hashes
 
@@ -48,7 +48,9 @@ POSTINGS, MARKS, KNOWN, DOCUMENTS = range(4)
 PACKED = "bucket int, kind int, nodes binary, sizes binary, counts binary, prints binary, extra binary"
 PACKED_ARROW = pa.schema([("bucket", pa.int32()), ("kind", pa.int32())]
                          + [(c, pa.binary()) for c in ("nodes", "sizes", "counts", "prints", "extra")])
-SETS = "doc_id long, n long, node long, second long, shared int, prefix array<long>, prints binary"
+SETS = (
+    "doc_id long, text_hash long, n long, node long, shared int, prefix array<long>, prints binary"
+)
 
 
 def needed(n: int) -> int:
@@ -131,11 +133,10 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def _flush(parts: list[tuple], buckets: int, hot: int) -> pa.RecordBatch:
     """Packed rows of slices of sets: postings by shingle, marks of frequent ones, and the documents."""
-    ids, counts, shingles = (np.concatenate(x) for x in zip(*parts))
+    ids, texts, counts, shingles = (np.concatenate(x) for x in zip(*parts))
     node = _sums(mixed(shingles ^ np.uint64(0xA5A5A5A5A5A5A5A5)), counts)
-    second = _sums(mixed(shingles + np.uint64(0x5851F42D4C957F2D)), counts)
     home = int(node[0] % np.uint64(buckets)) if len(node) else 0
-    rows = [(home, DOCUMENTS, node.tobytes(), counts.astype(np.int32).tobytes(), b"", ids.tobytes(), second.tobytes())]
+    rows = [(home, DOCUMENTS, node.tobytes(), counts.astype(np.int32).tobytes(), b"", ids.tobytes(), texts.tobytes())]
     first = np.zeros(len(node), bool)
     first[np.unique(node, return_index=True)[1]] = True
     first &= counts > 0
@@ -162,9 +163,10 @@ def _packed_sets(docs: DataFrame, words: int, buckets: int, hot: int) -> DataFra
         parts, size = [], 0
         for batch in batches:
             ids = batch.column("doc_id").fill_null(LAST_ID).to_numpy(zero_copy_only=False)
+            texts = batch.column("text_hash").to_numpy()
             for first, last, text, starts in text_slices(batch.column("text"), SLICE):
                 shingles, counts = shingle_sets(text, starts, words)
-                parts.append((ids[first:last], counts, shingles))
+                parts.append((ids[first:last], texts[first:last], counts, shingles))
                 size += len(shingles)
                 if size >= FLUSH:
                     yield _flush(parts, buckets, hot)
@@ -172,7 +174,8 @@ def _packed_sets(docs: DataFrame, words: int, buckets: int, hot: int) -> DataFra
         if parts:
             yield _flush(parts, buckets, hot)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sets, PACKED)
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return plain.mapInArrow(sets, PACKED)
 
 
 def _count_shared(buckets: int):
@@ -208,8 +211,8 @@ def _assemble(group: pa.Table) -> pa.Table:
     for r in rows:
         if r["kind"] == DOCUMENTS:
             ids, sizes = np.frombuffer(r["prints"], np.int64), np.frombuffer(r["sizes"], np.int32)
-            node, second = np.frombuffer(r["nodes"], np.int64), np.frombuffer(r["extra"], np.int64)
-            out += zip(ids.tolist(), sizes.tolist(), node.tolist(), second.tolist(), *[[None] * len(ids)] * 3)
+            node, texts = np.frombuffer(r["nodes"], np.int64), np.frombuffer(r["extra"], np.int64)
+            out += zip(*(x.tolist() for x in (ids, texts, sizes, node)), *[[None] * len(ids)] * 3)
     entries = [r for r in rows if r["kind"] in (POSTINGS, KNOWN)]
     if entries:
         nodes, sizes, prints = _entries(entries)
@@ -226,16 +229,16 @@ def _assemble(group: pa.Table) -> pa.Table:
             n, shared = int(sizes[a]), int(b - a)
             if shared >= needed(n):
                 prefix = n - needed(n) + 1 - (n - shared)
-                out.append((None, n, int(nodes[a].astype(np.int64)), None, shared,
+                out.append((None, None, n, int(nodes[a].astype(np.int64)), shared,
                             prints[a : a + prefix].astype(np.int64).tolist(), prints[a:b].tobytes()))
     columns = list(zip(*out)) or [[]] * 7
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary())
-    names = ("doc_id", "n", "node", "second", "shared", "prefix", "prints")
+    kinds = (*[pa.int64()] * 4, pa.int32(), pa.list_(pa.int64()), pa.binary())
+    names = ("doc_id", "text_hash", "n", "node", "shared", "prefix", "prints")
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
 def sets_and_nodes(docs: DataFrame, words: int = WORDS, hot: int = HOT) -> DataFrame:
-    """Rows ``doc_id, n, node, second`` of all documents, and rows with ``prefix`` of the nodes that may link."""
+    """Rows ``doc_id, text_hash, n, node`` of all documents, and rows with ``prefix`` of the nodes that may link."""
     buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counted = _packed_sets(docs, words, buckets, hot).groupBy("bucket").applyInArrow(_count_shared(buckets), PACKED)
     return written(counted.groupBy("bucket").applyInArrow(_assemble, SETS), "sets")
@@ -313,27 +316,48 @@ def links(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return first, second
 
 
-def near_copies(docs: DataFrame, words: int = WORDS, hot: int = HOT) -> DataFrame:
-    """``doc_id, n_shingles, component_id``, one row per row of ``docs`` (``doc_id, text``)."""
+def grouped(docs: DataFrame, words: int = WORDS, hot: int = HOT) -> DataFrame:
+    """``doc_id, text_hash, n, group``, one row per row of ``docs``; a missing id is ``LAST_ID``, a missing group null."""
     table = sets_and_nodes(docs, words, hot)
-    documents = table.where("prefix is null").select("doc_id", "n", "node", "second")
+    documents = table.where("prefix is null").select("doc_id", "text_hash", "n", "node")
     first, second = links(table.where("prefix is not null"))
-    smallest = (
-        documents.where("n > 0").groupBy("node", "second").agg(F.min("doc_id").alias("first_doc"))
-    )
-    names = written(smallest, "classes")
-    one = names.select(F.col("node").alias("a"), F.col("first_doc").alias("doc_a"))
-    two = names.select(F.col("node").alias("b"), F.col("first_doc").alias("doc_b"))
-    found = connected(
-        first.unionByName(second).join(one, "a").join(two, "b").select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))
-    )
-    # Rows sharing a doc_id are one document, so their classes share a component.
-    classes = names.join(found, names["first_doc"] == found["node"], "left").select(
-        names["node"], "second", F.coalesce("component", "first_doc").alias("component_id")
-    )
-    joined = documents.join(classes, ["node", "second"], "left")
-    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return joined.select(
+    found = connected(first.unionByName(second)).withColumnRenamed("node", "linked")
+    joined = documents.join(found, documents["node"] == found["linked"], "left")
+    own = F.coalesce("component", "node")
+    return joined.select("doc_id", "text_hash", "n", F.when(F.col("n") > 0, own).alias("group"))
+
+
+def near_copies(docs: DataFrame, words: int = WORDS, hot: int = HOT) -> DataFrame:
+    """``doc_id, n_shingles, component_id``, one row per row of ``docs`` (``doc_id, text``)."""
+    rows = written(grouped(docs, words, hot), "groups")
+    names = rows.where("group is not null").groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    component = F.coalesce("component_id", "doc_id")  # a row without a group is its own
+    return rows.join(names, "group", "left").select(
         F.nullif("doc_id", F.lit(LAST_ID)).alias("doc_id"), F.col("n").alias("n_shingles"),
         F.nullif(component, F.lit(LAST_ID)).alias("component_id"),
     )
+
+
+def first_of_each(docs: DataFrame, words: int = WORDS, hot: int = HOT) -> DataFrame:
+    """One row of each component, of the smallest doc_id, with all its columns; rows without words all stay."""
+    rows = written(grouped(docs.select("doc_id", "text"), words, hot), "groups").where("group is not null")
+    first = rows.groupBy("group").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    dropped = rows.join(first, "group").where(
+        (F.col("doc_id") != F.col("first.doc_id")) | (F.col("text_hash") != F.col("first.text_hash"))
+    ).select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_text")).distinct()
+
+    def same(other: DataFrame):
+        doc = F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST_ID))
+        return (doc == other["_doc"]) & (F.xxhash64(docs["text"]) == other["_text"])
+
+    dropped = broadcast_if_small(written(dropped, "dropped"))
+    kept = docs.join(dropped, same(dropped), "left_anti")
+    # Rows that are repeated as a whole are left, as often as they come; one of them stays.
+    repeated = written(
+        rows.groupBy(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_text")).agg(F.count("*").alias("k"))
+        .where("k > 1").drop("k"), "repeated")
+    if repeated.isEmpty():
+        return kept
+    repeated = broadcast_if_small(repeated)
+    once = kept.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(repeated, same(repeated), "left_anti").unionByName(once)

@@ -44,6 +44,61 @@ from rated
 """
 )
 
+_VECTORS = """
+with recursive v as (select vec_id, embedding::double[] as e from embeddings),
+links as (
+  select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and list_cosine_similarity(a.e, b.e) >= 0.9
+),
+reach as (select vec_id as node, vec_id as root from v union select b, root from reach join links on node = a),
+found as (select node, min(root) as component_id from reach group by node)
+select vec_id, (select count(*) from links where a = vec_id) as n_links, component_id, vec_id = component_id as kept
+from v join found on node = vec_id
+"""
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# All pairs that share a shingle, and everything reachable by links.
+_NEAR = r"""
+with recursive w as (
+  select doc_id, coalesce(regexp_extract_all(""" + _LOWER + r""", '[^\x20\x09-\x0D]+'), []) as w from {documents}
+),
+sh as (
+  select distinct doc_id, s from (
+    select doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+      else [array_to_string(w[i : i + 4], ' ') for i in range(1, len(w) - 3)] end) as s from w)
+),
+sz as (select doc_id, count(*) as n from sh group by doc_id),
+pairs as (select a.doc_id as a, b.doc_id as b, count(*) as o from sh a join sh b on a.s = b.s and a.doc_id < b.doc_id group by all),
+links as (
+  select a, b from pairs join sz x on a = x.doc_id join sz y on b = y.doc_id where 100 * o >= 80 * (x.n + y.n - o)
+),
+linked as (select a, b from links union all select b, a from links),
+reach as (select doc_id as node, doc_id as root from w union select b, root from reach join linked on node = a),
+found as (select node, min(root) as component_id from reach group by node)
+select w.doc_id, coalesce(n, 0) as n_shingles, component_id
+from w join found on node = w.doc_id left join sz on sz.doc_id = w.doc_id
+"""
+
+# All runs of 50 words that a second document has, and what they cover.
+_REPEATS = r"""
+with w as (
+  select doc_id, coalesce(regexp_extract_all(""" + _LOWER + r""", '[^\x20\x09-\x0D]+'), []) as w from {documents}
+),
+runs as (select doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) as run
+  from (select doc_id, w, unnest(range(1, len(w) - 48)) as i from w where len(w) >= 50)),
+repeated as (select run from runs group by run having min(doc_id) < max(doc_id)),
+hit as (select doc_id, i, i - lag(i) over (partition by doc_id order by i) as gap from runs where run in (select run from repeated)),
+part as (select doc_id, i, sum(case when gap <= 50 then 0 else 1 end) over (partition by doc_id order by i) as part from hit),
+spans as (select doc_id, part, min(i) - 1 as first, max(i) + 49 as last from part group by doc_id, part),
+found as (
+  select doc_id, cast(sum(last - first) as bigint) as n_repeated, count(*) as n_spans,
+    string_agg(first || ':' || last, ',' order by first) as spans from spans group by doc_id
+)
+select w.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_repeated, 0) as n_repeated, coalesce(n_spans, 0) as n_spans,
+  coalesce(spans, '') as spans
+from w left join found on w.doc_id = found.doc_id
+"""
+
 _LINES = r"""
 lines as (
   select doc_id, place, line, lower_ascii as key from (
@@ -120,8 +175,32 @@ from doc_words d left join hit on d.doc_id = hit.doc_id left join found on d.doc
 """
 
 ORACLE: dict[str, str] = {
+    "op1_embedding_dedup": _VECTORS,
+    "op2_ngram_join": _NEAR.format(documents="documents"),
+    "op4_suffix_dedup": _REPEATS.format(documents="documents"),
     "op6_line_dedup": _LINE_DEDUP.format(documents="documents"),
     "op7_decontaminate": _DECONTAMINATE.format(documents="documents"),
     "op8_mix_sources": _MIX.format(documents="documents"),
     "op10_warc": _WARC,
 }
+
+
+# The stages of the pipeline one after another; each works on all that the one before kept.
+PIPELINE = (
+    r"with d1 as (select * from documents where regexp_matches(text, '\p{L}')), d2 as (with "
+    + _LINES.format(documents="d1")
+    + """
+  , kept as (
+    select doc_id, coalesce(string_agg(line, chr(10) order by place) filter (not dropped), '') as text from judged group by doc_id
+  )
+  select doc_id, kept.text, lang, source, cast(length(kept.text) as bigint) as n_chars from d1 join kept using (doc_id)
+), near as (""" + _NEAR.format(documents="d2") + """),
+d3 as (select d2.* from d2 join near on d2.doc_id = near.doc_id where component_id = d2.doc_id),
+bad as (with """ + _HITS.format(documents="d3") + """ select distinct doc_id from matches),
+d4 as (select * from d3 where doc_id not in (select doc_id from bad)),
+taken as (""" + _MIX.format(documents="d4").replace(
+        "as bigint) * size as taken", "as bigint) as copies"
+    ) + """)
+select d4.*, unnest(range(1, copies + 1))::int as copy from d4 join taken on d4.doc_id = taken.doc_id where copies > 0
+"""
+)
