@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import argparse
 
+from lakefold.entities import ENTITIES
+from lakefold.functions.scoring import REACHABLE_LADDER, RfmRules
 from lakefold.plans.jobs import BatchConfig, run_batch, run_ingest
 from lakefold.plans.processing import BY_ARRIVAL, BY_SOURCE_TIME, FULL
 from lakefold.session import build_session
@@ -22,7 +24,10 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     ingest.add_argument("--lake", required=True)
     ingest.add_argument("--trigger-every", default="1 minute")
     ingest.add_argument("--once", action="store_true", help="take what is available and stop")
-    ingest.add_argument("--dedupe-for", default="1 hour")
+    ingest.add_argument("--dedupe-for", default="1 hour", help="empty: keep every delivery")
+    ingest.add_argument("--starting-offsets", default="earliest", help="earliest, latest or JSON; first start only")
+    ingest.add_argument("--topic", action="append", default=[], metavar="ENTITY=TOPIC")
+    ingest.add_argument("--max-per-batch", type=int, help="events (Kafka) or files of a micro-batch")
 
     batch = jobs.add_parser("batch", help="process new changes and write all result tables")
     batch.add_argument("--lake", required=True)
@@ -31,14 +36,36 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     )
     batch.add_argument("--exclude-status")
     batch.add_argument("--no-audit", action="store_true")
+    batch.add_argument("--results", help="root of the result tables; the lake if not given")
+    batch.add_argument("--fold-key", action="append", default=[], metavar="ENTITY=COLUMN,COLUMN")
+    batch.add_argument("--ladder", choices=("default", "reachable"), default="default")
+    batch.add_argument("--no-state", action="store_true", help="fold the whole log instead of a kept state")
+    for job in (ingest, batch):
+        job.add_argument(
+            "--partitions", type=int,
+            help="shuffle partitions, about the shuffled bytes by 128 MB; a stream keeps those of its first start",
+        )
     return parser.parse_args(arguments)
 
 
+def _named_values(pairs: list[str]) -> dict[str, str]:
+    """``ENTITY=VALUE`` arguments as a dictionary."""
+    values = dict(pair.split("=", 1) for pair in pairs)
+    unknown = set(values) - set(ENTITIES)
+    if unknown:
+        raise ValueError(f"no such entity: {', '.join(sorted(unknown))}")
+    return values
+
+
 def ingest_config(options: argparse.Namespace) -> IngestConfig:
     if options.events:
-        source = FileEvents(options.events)
+        bound = {} if options.max_per_batch is None else {"max_files_per_batch": options.max_per_batch}
+        source = FileEvents(options.events, **bound)
     else:
-        source = KafkaEvents(options.bootstrap_servers)
+        bound = {} if options.max_per_batch is None else {"max_events_per_batch": options.max_per_batch}
+        source = KafkaEvents(
+            options.bootstrap_servers, options.starting_offsets, topics=_named_values(options.topic), **bound
+        )
     return IngestConfig(
         source=source,
         raw_root=f"{options.lake}/raw",
@@ -53,19 +80,23 @@ def batch_config(options: argparse.Namespace) -> BatchConfig:
     return BatchConfig(
         raw_root=f"{options.lake}/raw",
         processed_root=f"{options.lake}/processed",
-        results_root=options.lake,
+        results_root=options.results or options.lake,
         positions=f"{options.lake}/checkpoints",
         state_root=f"{options.lake}/state",
         metrics_root=f"{options.lake}/metrics",
         follow=options.follow,
         exclude_status=options.exclude_status,
         audit=not options.no_audit,
+        keep_state=not options.no_state,
+        keys={name: tuple(columns.split(",")) for name, columns in _named_values(options.fold_key).items()},
+        rfm_rules=RfmRules(ladder=REACHABLE_LADDER) if options.ladder == "reachable" else RfmRules(),
     )
 
 
 def main(arguments: list[str] | None = None) -> None:
     options = parse(arguments)
-    spark = build_session(f"lakefold {options.job}")
+    partitions = {"spark.sql.shuffle.partitions": str(options.partitions)} if options.partitions else {}
+    spark = build_session(f"lakefold {options.job}", partitions)
     if options.job == "ingest":
         run_ingest(spark, ingest_config(options))
     else:

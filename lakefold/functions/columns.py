@@ -13,7 +13,7 @@ MAX_NUMERIC_BYTES = 8
 def decode_numeric(raw: Column, precision: int = 10, scale: int = 2) -> Column:
     """Big-endian two's complement bytes to ``decimal(precision, scale)``.
 
-    Null for null, for more than eight bytes and for values that do not fit the decimal.  The hex
+    Null for null, for no bytes, for more than eight and for values that do not fit the decimal.  The hex
     text is sign-extended to 64 bits and read as a signed base-16 number.
     """
     digits = F.hex(raw)
@@ -21,7 +21,7 @@ def decode_numeric(raw: Column, precision: int = 10, scale: int = 2) -> Column:
     unscaled = F.conv(F.lpad(digits, 2 * MAX_NUMERIC_BYTES, sign_digit), 16, -10)
     value = unscaled.cast("decimal(19,0)") * F.lit(Decimal(1).scaleb(-scale))
     return F.when(
-        F.octet_length(raw) <= MAX_NUMERIC_BYTES, value.try_cast(f"decimal({precision},{scale})")
+        F.octet_length(raw).between(1, MAX_NUMERIC_BYTES), value.try_cast(f"decimal({precision},{scale})")
     )
 
 

@@ -15,7 +15,14 @@ from lakefold.operators import products as product_reports
 from lakefold.operators import quality
 from lakefold.operators import sales as sales_reports
 from lakefold.operators.profile import change_log_profile
-from lakefold.plans.processing import BY_ARRIVAL, advance_state, load_current, process_changes
+from lakefold.plans.processing import (
+    BY_ARRIVAL,
+    advance_state,
+    load_current,
+    process_changes,
+    state_profile,
+)
+from lakefold.session import drop_folder, new_scratch
 from lakefold.sinks.tables import materialize, write_result
 from lakefold.sources.lake import read_processed
 from lakefold.streaming.ingest import IngestConfig, start_ingest
@@ -73,8 +80,17 @@ class BatchConfig:
 def run_batch(spark: SparkSession, config: BatchConfig) -> dict[str, DataFrame]:
     """Process new changes of all entities, fold them and write every result table.
 
-    Any failure is raised before a result is written from incomplete input.
+    Any failure is raised before a result is written from incomplete input.  What the run keeps for itself meanwhile
+    is removed at its end; the returned tables are read from the results.
     """
+    scratch = new_scratch(spark, "batch-run")
+    try:
+        return _run_batch(spark, config, scratch)
+    finally:
+        drop_folder(spark, scratch)
+
+
+def _run_batch(spark: SparkSession, config: BatchConfig, scratch: str) -> dict[str, DataFrame]:
     for entity in ENTITIES.values():
         process_changes(
             spark,
@@ -85,57 +101,66 @@ def run_batch(spark: SparkSession, config: BatchConfig) -> dict[str, DataFrame]:
             config.follow,
             config.metrics_root,
         )
-    state = {name: _current(spark, config, entity) for name, entity in ENTITIES.items()}
+    state = {name: _current(spark, config, entity, scratch) for name, entity in ENTITIES.items()}
     results = write_profile(spark, config)
     results |= write_reports(
-        state[CUSTOMERS.name], state[ORDERS.name], state[ORDER_ITEMS.name], config
+        state[CUSTOMERS.name], state[ORDERS.name], state[ORDER_ITEMS.name], config, scratch
     )
     if config.audit:
         results |= write_audits(state, config)
     return results
 
 
-def _current(spark: SparkSession, config: BatchConfig, entity: Entity) -> DataFrame:
+def _keeps_state(config: BatchConfig) -> bool:
+    return config.keep_state and config.follow == BY_ARRIVAL
+
+
+def _current(spark: SparkSession, config: BatchConfig, entity: Entity, scratch: str) -> DataFrame:
     key = config.keys.get(entity.name, entity.key)
-    if config.keep_state and config.follow == BY_ARRIVAL:
+    if _keeps_state(config):
         return advance_state(spark, entity, config.processed_root, config.state_root, key)
-    return materialize(load_current(spark, entity, config.processed_root, key), entity.name)
+    folded = load_current(spark, entity, config.processed_root, key)
+    return materialize(folded, f"{scratch}/{entity.name}")
 
 
 def write_profile(spark: SparkSession, config: BatchConfig) -> dict[str, DataFrame]:
+    """Describe the change logs, from the kept state where there is one and else from all history."""
     profiles = None
     for entity in ENTITIES.values():
         key = config.keys.get(entity.name, entity.key)
-        log = read_processed(spark, config.processed_root, entity)
-        profile = change_log_profile(log, entity.name, key)
+        if _keeps_state(config):
+            profile = state_profile(spark, entity, config.state_root, key)
+        else:
+            log = read_processed(spark, config.processed_root, entity)
+            profile = change_log_profile(log, entity.name, key)
         profiles = profile if profiles is None else profiles.unionByName(profile)
     written = write_result(
-        profiles, config.results_root, "change_log_profile", True, ["entity", "metric"]
+        profiles, config.results_root, "change_log_profile", True, ["entity", "place", "metric"]
     )
     return {"change_log_profile": written}
 
 
 def write_reports(
-    customers: DataFrame, orders: DataFrame, items: DataFrame, config: BatchConfig
+    customers: DataFrame, orders: DataFrame, items: DataFrame, config: BatchConfig, scratch: str
 ) -> dict[str, DataFrame]:
     """Write the analytics tables.
 
-    What several tables share is computed once: the sales per order are written to scratch, and the
+    What several tables share is computed once: the sales per day are written to scratch, and the
     segments are counted from the written customer table.  Tables with a row per period, status,
-    cohort or segment get a single CSV file; tables that grow with customers or products do not.
+    cohort or segment get a single CSV file; tables that grow with customers or products do not, and are not sorted.
     """
     root, results = config.results_root, {}
 
     def write(df: DataFrame, name: str, single_csv: bool, order: Sequence = ()) -> None:
         results[name] = write_result(df, root, name, single_csv, order)
 
-    sales = materialize(
-        sales_reports.order_sales(orders, items, config.exclude_status), "order-sales"
+    days = materialize(
+        sales_reports.day_totals(sales_reports.order_sales(orders, items, config.exclude_status)), f"{scratch}/days"
     )
-    write(sales_reports.daily_sales(sales), "daily_sales", True, ["order_date"])
-    write(sales_reports.weekly_sales(sales), "weekly_sales", True, ["year", "week"])
-    write(sales_reports.weekly_sales_iso(sales), "weekly_sales_iso", True, ["iso_year", "week"])
-    write(sales_reports.monthly_sales(sales), "monthly_sales", True, ["year_month"])
+    order_of = {"daily_sales": ["order_date"], "weekly_sales": ["year", "week"],
+                "weekly_sales_iso": ["iso_year", "week"], "monthly_sales": ["year_month"]}
+    for name, table in sales_reports.periods_of(days).items():
+        write(table, name, True, order_of[name])
     write(sales_reports.sales_by_status(orders), "sales_by_status", True, ["status"])
 
     cohorts = customer_reports.customer_cohorts(customers, orders, config.exclude_status)
@@ -146,7 +171,7 @@ def write_reports(
     segments = customer_reports.customer_segments(results["customer_rfm"])
     write(segments, "customer_segments", True, [F.desc("customer_count"), "segment"])
 
-    write(product_reports.product_performance(items), "product_performance", False)
+    write(product_reports.product_performance(items, ordered=False), "product_performance", False)
     write(product_reports.product_affinity(items), "product_affinity", False)
     return results
 

@@ -13,13 +13,13 @@ from lakefold.functions.scoring import REACHABLE_LADDER, RfmRules
 from lakefold.operators import customers, fold, products, quality, sales
 from lakefold.operators.decode import decode_events, to_processed
 from lakefold.operators.profile import change_log_profile
+from lakefold.plans import star_schema as star
 from lakefold.plans.jobs import BatchConfig, run_batch, run_ingest
 from lakefold.plans.processing import BY_SOURCE_TIME, advance_state, load_current, process_changes
 from lakefold.session import new_scratch
 from lakefold.sinks.tables import read_result_csv, write_result
-from lakefold.sources import star_schema as star
 from lakefold.sources.events import FileEvents
-from lakefold.sources.lake import incremental_since, read_metrics, read_raw
+from lakefold.sources.lake import incremental_since, read_metrics, read_raw, read_rejected
 from lakefold.streaming.ingest import IngestConfig, ingest_totals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,7 +136,9 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         star.order_item_log(spark, sf_dir), ORDER_ITEMS.name, ORDER_PRODUCT_KEY
     )
     people = change_log_profile(star.customer_log(spark, sf_dir), CUSTOMERS.name, CUSTOMERS.key)
-    return orders.unionByName(items).unionByName(people)
+    # Keys with dozens of versions: all changes to the orders of a customer.
+    many = change_log_profile(star.order_log(spark, sf_dir), "orders_by_customer", ["customer_id"])
+    return orders.unionByName(items).unionByName(people).unionByName(many)
 
 
 def decode_change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,11 +195,11 @@ def _deliver(events: DataFrame, root: str, entity_name: str) -> None:
     events.write.mode("append").parquet(f"{root}/events/{entity_name}")
 
 
-def _ingest_config(root: str) -> IngestConfig:
+def _ingest_config(root: str, checkpoints: str = "stream-checkpoints") -> IngestConfig:
     return IngestConfig(
         source=FileEvents(f"{root}/events"),
         raw_root=f"{root}/raw",
-        checkpoint_root=f"{root}/stream-checkpoints",
+        checkpoint_root=f"{root}/{checkpoints}",
         metrics_root=f"{root}/metrics",
         trigger_every=None,
     )
@@ -226,7 +228,7 @@ def stream_ingest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     for delivery in (_creates(log), log):
         _deliver(star.wire_events(delivery, ORDERS), root, ORDERS.name)
         run_ingest(spark, _ingest_config(root), [ORDERS])
-    return read_raw(spark, f"{root}/raw", ORDERS).select(
+    return read_raw(spark, f"{root}/raw", ORDERS, f"{root}/metrics").select(
         "order_id",
         F.col("__op").alias("op"),
         F.col("__lsn").alias("lsn"),
@@ -235,6 +237,32 @@ def stream_ingest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_ingest_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second stream with a new checkpoint over the same lake: nothing of either is lost in the fold."""
+    root = new_scratch(spark, "stream-checkpoint")
+    log = star.order_log(spark, sf_dir)
+    for delivery, checkpoints in ((_creates(log), "first"), (log.filter(F.col("__op") != "c"), "second")):
+        _deliver(star.wire_events(delivery, ORDERS), root, ORDERS.name)
+        run_ingest(spark, _ingest_config(root, checkpoints), [ORDERS])
+    config = _batch_config(root)
+    process_changes(
+        spark, ORDERS, config.raw_root, config.processed_root, config.positions, metrics_root=config.metrics_root
+    )
+    return _order_columns(load_current(spark, ORDERS, config.processed_root))
+
+
+def stream_rejected_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged events of one time, many with equal texts, delivered twice: each place in the source counts once."""
+    root = new_scratch(spark, "stream-rejected")
+    for _ in range(2):
+        _deliver(star.damaged_order_events(spark, sf_dir), root, ORDERS.name)
+        run_ingest(spark, _ingest_config(root), [ORDERS])
+    rejected = read_rejected(spark, f"{root}/raw", ORDERS, f"{root}/metrics")
+    return rejected.groupBy("reject_reason").agg(
+        F.count("*").alias("events"), F.max("origin_offset").alias("last_offset")
+    )
+
+
 def stream_ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One query per entity, side by side; rows written and rejected as the metrics table has them."""
     root = new_scratch(spark, "stream-metrics")
@@ -255,7 +283,9 @@ def incremental_checkpoint_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if delivery is not None:
             _deliver(star.wire_events(delivery, ORDERS), root, ORDERS.name)
             run_ingest(spark, _ingest_config(root), [ORDERS])
-        process_changes(spark, ORDERS, config.raw_root, config.processed_root, config.positions)
+        process_changes(
+            spark, ORDERS, config.raw_root, config.processed_root, config.positions, metrics_root=config.metrics_root
+        )
         state = advance_state(spark, ORDERS, config.processed_root, config.state_root)
     return _order_columns(state)
 
@@ -272,7 +302,8 @@ def incremental_by_source_time(spark: SparkSession, sf_dir: str) -> DataFrame:
         _deliver(star.wire_events(delivery, ORDERS), root, ORDERS.name)
         run_ingest(spark, _ingest_config(root), [ORDERS])
         process_changes(
-            spark, ORDERS, config.raw_root, config.processed_root, config.positions, config.follow
+            spark, ORDERS, config.raw_root, config.processed_root, config.positions, config.follow,
+            config.metrics_root,
         )
     return _order_columns(load_current(spark, ORDERS, config.processed_root))
 
@@ -298,30 +329,83 @@ def batch_job_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_batch(spark, _batch_config(root))["daily_sales"]
 
 
+def _job_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All result tables after two deliveries to all streams and a batch run after each."""
+    root = new_scratch(spark, "batch-job-tables")
+    logs = {
+        "customers": star.customer_log(spark, sf_dir),
+        "orders": star.order_log(spark, sf_dir),
+        "order_items": star.order_item_log(spark, sf_dir),
+    }
+    results = {}
+    for first in (True, False):
+        for name, log in logs.items():
+            part = F.col("__op").isin("c", "r")
+            _deliver(star.wire_events(log.filter(part if first else ~part), ENTITIES[name]), root, name)
+        run_ingest(spark, _ingest_config(root))
+        results = run_batch(spark, _batch_config(root, audit=False))
+    return results
+
+
+# Result table -> its key columns; the other columns are measures.
+JOB_KEYS = {
+    "daily_sales": ("order_date",),
+    "weekly_sales": ("year", "week"),
+    "weekly_sales_iso": ("iso_year", "week"),
+    "monthly_sales": ("year_month",),
+    "sales_by_status": ("status",),
+    "customer_cohorts": ("registration_cohort", "order_month"),
+    "customer_rfm": ("customer_id", "segment", "first_name", "last_name", "email"),
+    "customer_segments": ("segment",),
+    "product_performance": ("product_id", "product_name"),
+    "product_affinity": ("product_a_id", "product_a_name", "product_b_id", "product_b_name"),
+    "change_log_profile": ("entity", "metric"),
+}
+
+
+def batch_job_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every result table of the batch job as ``table_name, row_key, measure, value``."""
+    tall = None
+    for name, df in _job_tables(spark, sf_dir).items():
+        keys = JOB_KEYS[name]
+        measures = [
+            F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in df.columns if c not in keys
+        ]
+        part = df.select(
+            F.lit(name).alias("table_name"),
+            F.concat_ws("|", *(F.col(k).cast("string") for k in keys)).alias("row_key"),
+            F.inline(F.array(*measures)),
+        )
+        tall = part if tall is None else tall.unionByName(part)
+    return tall
+
+
 def audit_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule, on tables with faults of every kind."""
     return (
-        quality.audit_constraints(star.customers(spark, sf_dir), CUSTOMERS)
-        .unionByName(quality.audit_constraints(star.orders(spark, sf_dir), ORDERS))
-        .unionByName(quality.audit_constraints(star.order_items(spark, sf_dir), ORDER_ITEMS))
+        quality.audit_constraints(star.faulty_customers(spark, sf_dir), CUSTOMERS)
+        .unionByName(quality.audit_constraints(star.faulty_orders(spark, sf_dir), ORDERS))
+        .unionByName(quality.audit_constraints(star.faulty_order_items(spark, sf_dir), ORDER_ITEMS))
     )
 
 
 def audit_foreign_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items of orders that the change log has deleted are orphans."""
+    """Orders of unknown customers, and items of orders that the change log has deleted."""
     orders = fold.current_state(star.order_log(spark, sf_dir), ORDERS.key)
     items, people = star.order_items(spark, sf_dir), star.customers(spark, sf_dir)
     return quality.audit_foreign_key(
-        orders, people, "orders", "customer_id", "customers", "customer_id"
+        star.faulty_orders(spark, sf_dir), people, "orders", "customer_id", "customers", "customer_id"
     ).unionByName(
         quality.audit_foreign_key(items, orders, "order_items", "order_id", "orders", "order_id")
     )
 
 
 def audit_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean keys, and mail addresses that are shared, missing or both."""
     people, items = star.customers(spark, sf_dir), star.order_items(spark, sf_dir)
     checks = [
         quality.audit_uniqueness(people, "customers", ["customer_id"]),
-        quality.audit_uniqueness(people, "customers", ["email"]),
+        quality.audit_uniqueness(star.faulty_customers(spark, sf_dir), "customers", ["email"]),
         quality.audit_uniqueness(star.orders(spark, sf_dir), "orders", ["order_id"]),
         quality.audit_uniqueness(items, "order_items", ["item_id"]),
         quality.audit_uniqueness(items, "order_items", list(ORDER_PRODUCT_KEY)),
@@ -333,7 +417,15 @@ def audit_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.audit_order_totals(star.orders(spark, sf_dir), star.order_items(spark, sf_dir))
+    return quality.audit_order_totals(star.reconciled_orders(spark, sf_dir), star.order_items(spark, sf_dir))
+
+
+def product_affinity_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products bought by the same customer, with baskets of many blocks."""
+    owners = star.orders(spark, sf_dir).select("order_id", "customer_id")
+    bought = star.order_items(spark, sf_dir).join(owners, "order_id").drop("order_id")
+    pairs = products.product_affinity(bought.withColumnRenamed("customer_id", "order_id"), basket_block=8)
+    return pairs.groupBy("product_a_id").agg(F.count("*").alias("partners"), F.sum("count").alias("customers"))
 
 
 QUERIES: dict[str, Query] = {
@@ -350,6 +442,7 @@ QUERIES: dict[str, Query] = {
     "product_performance": product_performance,
     "top_products": top_products,
     "product_affinity": product_affinity,
+    "product_affinity_by_customer": product_affinity_by_customer,
     "top_product_pairs": top_product_pairs,
     "current_orders": current_orders,
     "current_order_items": current_order_items,
@@ -363,8 +456,11 @@ QUERIES: dict[str, Query] = {
     "incremental_by_source_time": incremental_by_source_time,
     "stream_ingest_orders": stream_ingest_orders,
     "stream_ingest_metrics": stream_ingest_metrics,
+    "stream_ingest_new_checkpoint": stream_ingest_new_checkpoint,
+    "stream_rejected_events": stream_rejected_events,
     "results_roundtrip": results_roundtrip,
     "batch_job_daily_sales": batch_job_daily_sales,
+    "batch_job_tables": batch_job_tables,
     "audit_constraints": audit_constraints,
     "audit_foreign_keys": audit_foreign_keys,
     "audit_uniqueness": audit_uniqueness,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -25,11 +24,6 @@ JOB_SETTINGS = {
 }
 
 
-def shuffle_partitions(input_bytes: int, cores: int, target_bytes: int = 128 << 20) -> int:
-    """Shuffle partition count for a job: about ``target_bytes`` each, at least two per core."""
-    return max(2 * cores, -(-input_bytes // target_bytes))
-
-
 def build_session(app_name: str, settings: dict[str, str] | None = None) -> SparkSession:
     """Create or reuse a session with ``JOB_SETTINGS``, overridden by ``settings``.
 
@@ -45,19 +39,19 @@ def build_session(app_name: str, settings: dict[str, str] | None = None) -> Spar
 def scratch_root(spark: SparkSession) -> str:
     """Folder that every executor can reach, for intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only a local-mode session may fall back to
-    a temporary folder of the machine.
+    The cluster names it in ``spark.checkpoint.dir``; without that it is a folder below the warehouse, which executors share
+    as well.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="lakefold-"))
-        folder = context.getCheckpointDir()
-    return folder.rstrip("/")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch").rstrip("/")
 
 
 def new_scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder name below the scratch root."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that a job has made for itself."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

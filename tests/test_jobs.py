@@ -4,10 +4,13 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import DataFrameReader
 
 from lakefold.__main__ import batch_config, ingest_config, parse
 from lakefold.entities import CUSTOMERS, ENTITIES, ORDER_ITEMS, ORDERS
+from lakefold.functions.scoring import REACHABLE_LADDER
 from lakefold.operators import quality
+from lakefold.operators.profile import change_log_profile
 from lakefold.plans.jobs import BatchConfig, run_batch, run_ingest
 from lakefold.plans.processing import (
     BY_SOURCE_TIME,
@@ -16,6 +19,7 @@ from lakefold.plans.processing import (
     load_current,
     process_changes,
 )
+from lakefold.session import scratch_root
 from lakefold.sources.events import MESSAGE_SCHEMA, FileEvents
 from lakefold.sources.lake import path_exists, read_position, read_processed
 from lakefold.streaming.ingest import IngestConfig
@@ -118,7 +122,7 @@ def test_raw_area_of_another_writer(spark, root):
     deliver(spark, root, ORDERS, order(1))
     ingest(spark, root, ORDERS)
     plain = spark.read.parquet(f"{root}/raw/orders").drop(
-        "ingest_batch", "is_rejected", "reject_reason", "event_text"
+        "ingest_batch", "attempt", "is_rejected", "reject_reason", "event_text", "origin", "origin_offset"
     )
     plain = plain.withColumn("order_id", plain.order_id.cast("int"))
     other = root + "-plain"
@@ -207,6 +211,39 @@ def test_missing_entity_stops_before_any_report(spark, root):
     assert not path_exists(spark, f"{root}/analytics")
 
 
+def test_a_second_run_opens_new_batches_and_state_only(spark, root):
+    shop(spark, root)
+    run_batch(spark, batch(root, audit=False))
+    deliver(spark, root, ORDERS, order(2, "u", 200, 9999, status="delivered", customer_id=2, order_date=19_502 * DAY_US))
+    ingest(spark, root)
+    opened = []
+    plain = DataFrameReader.parquet
+
+    def watched(reader, *paths, **options):
+        opened.extend(paths)
+        return plain(reader, *paths, **options)
+
+    DataFrameReader.parquet = watched
+    try:
+        results = run_batch(spark, batch(root, audit=False))
+    finally:
+        DataFrameReader.parquet = plain
+    raw = [p for p in opened if "/raw/orders/" in p]
+    assert raw and all("/ingest_batch=1/" in p for p in raw)
+    profile = {(r.entity, r.metric): r.value for r in results["change_log_profile"].collect()}
+    whole = change_log_profile(read_processed(spark, f"{root}/processed", ORDERS), "orders", ORDERS.key)
+    assert {k: v for k, v in profile.items() if k[0] == "orders"} == {
+        ("orders", r.metric): r.value for r in whole.collect()}
+    scratch = scratch_root(spark).removeprefix("file:")
+    assert not glob.glob(f"{scratch}/batch-run-*")
+
+
+def test_uniqueness_leaves_nulls_out(spark):
+    df = spark.createDataFrame([(None,), (None,), ("a",), ("a",), ("b",)], "email string")
+    row = quality.audit_uniqueness(df, "customers", ["email"]).first()
+    assert (row.repeated_values, row.rows_affected) == (1, 2)
+
+
 def test_constraint_audit_counts_violations(spark):
     rows = [(1, "ok", None, Decimal(1)), (None, "x" * 21, "lost", None)]
     df = spark.createDataFrame(
@@ -237,5 +274,18 @@ def test_command_line(spark):
     options = parse(["ingest", "--bootstrap-servers", "b:9092", "--lake", "s3a://lake"])
     config = ingest_config(options)
     assert config.source.bootstrap_servers == "b:9092" and config.raw_root == "s3a://lake/raw"
+    options = parse(["ingest", "--bootstrap-servers", "b:9092", "--lake", "l", "--starting-offsets", "latest",
+                     "--topic", "orders=shop.orders", "--max-per-batch", "7", "--dedupe-for", "", "--partitions", "32"])
+    config = ingest_config(options)
+    assert (config.source.starting_offsets, config.source.topics, config.source.max_events_per_batch) == (
+        "latest", {"orders": "shop.orders"}, 7)
+    assert config.dedupe_for is None and options.partitions == 32
+    options = parse(["batch", "--lake", "/lake", "--results", "/out", "--fold-key", "order_items=order_id,product_id",
+                     "--ladder", "reachable", "--no-state"])
+    config = batch_config(options)
+    assert config.results_root == "/out" and config.keys == {"order_items": ("order_id", "product_id")}
+    assert config.rfm_rules.ladder == REACHABLE_LADDER and not config.keep_state
+    with pytest.raises(ValueError):
+        batch_config(parse(["batch", "--lake", "/lake", "--fold-key", "nothing=x"]))
     options = parse(["batch", "--lake", "/lake", "--follow", "full", "--no-audit"])
     assert batch_config(options).follow == FULL and not batch_config(options).audit
