@@ -1,0 +1,250 @@
+"""Near copies, vectors, repeated passages, scores and archives against plain versions."""
+
+import base64
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from helpers import awkward_rows, components, documents, sentence, shingles, words
+
+from lakefold.llm import components as graph
+from lakefold.llm import embedding_dedup, lm_score, ngram_join, suffix_dedup, warc
+from lakefold.llm.scan import SEPARATOR
+
+
+def test_connected_components(spark):
+    rng = random.Random(4)
+    links = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1100)] + [(5, 5)]
+    found = {r.node: r.component for r in graph.connected(spark.createDataFrame(links, "a long, b long")).collect()}
+    want = components({x for pair in links for x in pair}, links)
+    assert found == {n: c for n, c in want.items() if any(n in pair and pair[0] != pair[1] for pair in links)}
+
+
+# Near copies
+
+def changed(rng, text, n):
+    w = text.split()
+    for _ in range(n):
+        w[rng.randrange(len(w))] = sentence(rng, 1)
+    return " ".join(w)
+
+
+def plain_groups(rows):
+    sets = [shingles(r[1]) for r in rows]
+    links = [(i, j) for i in range(len(rows)) for j in range(i)
+             if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    group = components(range(len(rows)), links)
+    return sets, group
+
+
+@pytest.mark.parametrize("hot", [1, 4, 64])
+def test_near_copies_against_all_pairs(spark, monkeypatch, hot):
+    monkeypatch.setattr(ngram_join, "FLUSH", 2000)
+    rng = random.Random(6)
+    base = [sentence(rng, rng.randint(6, 150)) for _ in range(25)]
+    line = sentence(rng, 12)
+    rows = [(i, t, "en", "a") for i, t in enumerate(
+        [changed(rng, rng.choice(base), rng.randint(0, 6)) + (" " + line if rng.random() < 0.5 else "") for _ in range(220)])]
+    rows = [(r[0] + 1000, *r[1:]) for r in rows] + awkward_rows()
+    sets, group = plain_groups(rows)
+    docs = documents(spark, rows, clash=True).repartition(3)
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in ngram_join.near_copies(docs, hot=hot).collect())
+    smallest = {}
+    for i, r in enumerate(rows):
+        ids = [rows[j][0] for j in group if group[j] == group[i] and rows[j][0] is not None]
+        smallest[i] = min(ids, default=None)
+    assert got == sorted((str(r[0]), len(sets[i]), str(smallest[i])) for i, r in enumerate(rows))
+    kept = ngram_join.first_of_each(docs, hot=hot)
+    assert kept.columns == docs.columns
+    texts = [r.text for r in kept.collect()]
+    assert len(texts) == len({group[i] for i in range(len(rows)) if sets[i]}) + sum(not s for s in sets)
+
+
+def test_filters_never_lose_a_link():
+    for a in range(1, 60):
+        for b in range(1, 60):
+            least = next(o for o in range(a + b + 1) if 100 * o >= 80 * (a + b - o))
+            assert ngram_join.overlap_needed(a, b) == least
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        a, b = (np.unique(rng.integers(0, 60, 40)).astype(np.uint64) for _ in range(2))
+        assert ngram_join.suffix_may_reach(a, b, len(np.intersect1d(a, b)))
+
+
+# Vectors
+
+def test_vectors_against_all_pairs(spark):
+    rng = np.random.default_rng(8)
+    vectors = [v for c in rng.standard_normal((30, 48)) for v in c + rng.standard_normal((12, 48)) * rng.uniform(0.05, 0.5)]
+    vectors += [rng.standard_normal(48) for _ in range(300)] + [vectors[0]] * 40 + [vectors[1] * 3]
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(np.array(vectors, np.float32))]
+    bad = [(9000, None), (9001, []), (9002, [0.0] * 48), (9003, [float("nan")] * 48), (9004, [1.0, None]), (9005, [float("inf")] * 48),
+           (None, rows[0][1]), (9006, [1.0, 0.0]), (9007, [2.0, 0.0])]
+    table = spark.createDataFrame(rows + bad, "vec_id long, embedding array<float>")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_duplicates(table).collect()}
+    e = np.array([r[1] for r in rows])
+    e /= np.linalg.norm(e, axis=1)[:, None]
+    near = e @ e.T >= 0.9
+    np.fill_diagonal(near, False)
+    group = components(range(len(rows)), zip(*np.nonzero(near)))
+    found = sum(got[i][0] for i in range(len(rows)))
+    assert found >= 0.99 * near.sum()
+    assert all(got[i][0] <= near[i].sum() for i in range(len(rows)))
+    assert sum(got[i][1] == group[i] for i in group) >= 0.99 * len(group)
+    assert all(got[i] == (0, i, True) for i in range(9000, 9006))
+    assert got[9006] == (1, 9006, True) and got[9007] == (1, 9006, False) and got[None] == (0, None, False)
+    assert embedding_dedup.near_duplicates(table.limit(0)).count() == 0
+
+
+def test_large_buckets_are_cut_and_estimates_are_unbiased(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 16)
+    rng = np.random.default_rng(2)
+    vectors = rng.standard_normal(32) + 0.1 * rng.standard_normal((90, 32))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    e = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(table).collect()}
+    assert got == {i: int((e @ e[i] >= 0.9).sum()) - 1 for i in range(90)}
+    units = embedding_dedup.unit(rng.standard_normal((400, 128)))
+    signs, factors = embedding_dedup.encode(units)
+    rotated = units @ embedding_dedup.rotation(128, 0).T
+    error = embedding_dedup.upper_bounds(signs, factors, rotated, 0.0) - units @ units.T
+    np.fill_diagonal(error, 0)
+    assert abs(error.mean()) < 0.005
+    bound = embedding_dedup.upper_bounds(signs, factors, rotated, embedding_dedup.CONFIDENCE)
+    assert (bound >= units @ units.T - 1e-6).mean() > 0.999
+
+
+# Repeated passages
+
+def plain_repeats(rows, passage):
+    text = {}
+    for i, r in enumerate(rows):
+        text[i] = words(r[1])
+    seen = {}
+    for i, w in text.items():
+        doc = -1 if rows[i][0] is None else rows[i][0]
+        for j in range(len(w) - passage + 1):
+            seen.setdefault(tuple(w[j : j + passage]), set()).add(doc)
+    out = []
+    for i, w in text.items():
+        covered = [False] * len(w)
+        for j in range(len(w) - passage + 1):
+            if len(seen[tuple(w[j : j + passage])]) > 1:
+                covered[j : j + passage] = [True] * passage
+        out.append((str(rows[i][0]), len(w), sum(covered)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("passage", [12, 50])
+def test_repeats_against_all_windows(spark, passage):
+    rng = random.Random(9)
+    pieces = [sentence(rng, rng.randint(8, 90)) for _ in range(12)]
+    rows = awkward_rows() + [
+        (100 + i, " ".join(rng.choice([rng.choice(pieces), sentence(rng, 30), "the same few words"]) for _ in range(rng.randint(1, 6))), "en", "a")
+        for i in range(120)]
+    docs = documents(spark, rows, clash=True)
+    found = suffix_dedup.find_repeats(docs, passage).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_repeated) for r in found) == plain_repeats(rows, passage)
+    for r in found:
+        spans = [tuple(map(int, s.split(":"))) for s in r.spans.split(",") if s]
+        assert len(spans) == r.n_spans and sum(b - a for a, b in spans) == r.n_repeated
+    assert suffix_dedup.find_repeats(docs.limit(0)).count() == 0
+
+
+def test_sliding_minimum():
+    x = np.random.default_rng(1).integers(0, 99, 70).astype(np.uint64)
+    for width in (1, 2, 7, 69, 70):
+        assert suffix_dedup.sliding(x, width, np.minimum).tolist() == [x[i : i + width].min() for i in range(71 - width)]
+    assert len(suffix_dedup.sliding(x, 71, np.minimum)) == 0
+
+
+# Scores
+
+SMALL = lm_score.Shape(side=2, hidden=6, classes=5, members=4, spare=3)
+
+
+def test_probabilities_add_up_and_gradients_point_down():
+    net = lm_score.Network.begin(SMALL, 3)
+    around = np.array([[1, 20], [2, 3], [4, 5], [6, 20]])
+    total = sum(np.exp(net.log_probabilities(around, np.full(2, t))) for t in range(SMALL.tokens))
+    assert np.allclose(total, 1, atol=1e-5)
+    rng = np.random.default_rng(0)
+    target = rng.integers(0, SMALL.tokens, 256)
+    around = np.stack([(target + i) % SMALL.tokens for i in (1, 2, 3, 4)])
+    squares = {n: np.zeros_like(w) for n, w in net.weights.items()}
+    before = net.log_probabilities(around, target).mean()
+    for _ in range(60):
+        net.learn(around, target, squares)
+    assert net.log_probabilities(around, target).mean() > before + 1
+    assert lm_score.Network.unpacked(SMALL, net.packed()).packed() == net.packed()
+
+
+def test_scores_are_sums_over_tokens(spark):
+    rng = random.Random(3)
+    frame = "the cat sat on a mat and then it ran to the dog".split()
+    rows = awkward_rows() + [(100 + i, " ".join(rng.sample(frame, 9) if i % 9 == 0 else frame * rng.randint(1, 4)), "en", "a") for i in range(300)]
+    docs = documents(spark, rows, clash=True)
+    model = lm_score.fit(docs, SMALL, rounds=3, stride=2)
+    got = {(r.doc_id, r.n_tokens): r for r in lm_score.score(docs, model).collect()}
+    known = {int(w): int(t) for w, t in zip(*model.words)}
+    assert len(known) == SMALL.known
+    for doc_id, text, *_ in rows:
+        data = np.concatenate([np.frombuffer((text or "").encode(), np.uint8), [SEPARATOR]]).astype(np.uint8)
+        tokens, _ = lm_score.tokens_of(data, np.array([0, len(data)]), *model.words, SMALL)
+        total = 0.0
+        for i, token in enumerate(tokens):
+            around = [tokens[i + k] if 0 <= i + k < len(tokens) else SMALL.tokens for k in (-2, -1, 1, 2)]
+            total += float(model.network.log_probabilities(np.array(around)[:, None], np.array([token]))[0]) if len(tokens) < 200 else 0
+        row = got[(doc_id, len(tokens))]
+        if len(tokens) < 200:
+            assert row.log_likelihood == pytest.approx(total, abs=1e-2)
+        assert (row.mean_log_likelihood is None) == (len(tokens) == 0)
+    in_order = np.mean([r.mean_log_likelihood for r in got.values() if r.doc_id and r.doc_id >= 100 and r.doc_id % 9 != 1])
+    shuffled = np.mean([r.mean_log_likelihood for r in got.values() if r.doc_id and r.doc_id >= 100 and r.doc_id % 9 == 1])
+    assert in_order > shuffled + 0.5
+    empty = docs.limit(0)
+    assert lm_score.score(empty, lm_score.fit(empty, SMALL)).count() == 0
+
+
+def test_networks_are_averaged_a_few_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "AVERAGED", 3)
+    copies = [(s, n, np.array([s, 1], np.float32).tobytes()) for s, n in ((0, 1), (1, 1), (4, 2), (11, 4))]
+    table = spark.createDataFrame(copies, "shard int, n long, weights binary")
+    assert np.frombuffer(lm_score.averaged(table), np.float32).tolist() == pytest.approx([53 / 8, 1])
+
+
+# Archives
+
+def test_archives_round_trip(spark):
+    rows = [(5, "http://a/x y", "<p>one</p>"), (3, "http://a/2", "<p>one</p>"), (4, None, None), (6, "http://é/\r\nX: y", ""),
+            (7, "u", "x\r\n\r\nWARC/1.1\r\n\r\n" * 30), (7, "u", "other"), (8, "u", "other"), (8, "u", "other"), (None, "n", "<p>one</p>"),
+            (None, "n", "alone"), (9, "z", "é" * 100000)]
+    pages = spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, record_id int")
+    got = sorted((str(r.page_id), r.payload_bytes, r.payload_digest, r.warc_type, str(r.refers_to)) for r in warc.archive_pages(pages).collect())
+    want = []
+    for page, _, html in rows:
+        data = (html or "").encode()
+        ids = [p for p, _, h in rows if (h or "") == (html or "") and p is not None]
+        first = min(ids, default=None)
+        kind = "response" if page == first else "revisit"
+        digest = base64.b32encode(hashlib.sha1(data).digest()).decode()
+        want.append((str(page), len(data), digest, kind, str(first if kind == "revisit" else None)))
+    assert got == sorted(want)
+    assert warc.archive_pages(pages.limit(0)).count() == 0
+
+
+def test_small_payloads_are_never_revisits(spark):
+    pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcd"), (4, "u", "abcd")], "page_id long, url string, html string")
+    records = {r.page_id: r for r in warc.archive_pages(pages, least_bytes=3).collect()}
+    assert [records[i].warc_type for i in (1, 2, 3, 4)] == ["response", "response", "response", "revisit"]
+    assert all(r.digest_ok for r in records.values() if r.warc_type == "response")
+
+
+def test_broken_archives_are_reported():
+    good = b"WARC/1.1\r\nContent-Length: 2\r\n\r\nab\r\n\r\n"
+    assert [block for _, block in warc.parse_records(iter([good[:9], good[9:], good]))] == [b"ab", b"ab"]
+    with pytest.raises(ValueError):
+        list(warc.parse_records(iter([good[:-6]])))
+    with pytest.raises(ValueError):
+        list(warc.parse_records(iter([b"HTTP/1.1 200\r\n\r\n"])))
