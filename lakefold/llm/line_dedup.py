@@ -45,13 +45,16 @@ class LineRuns:
         self.spark, self.fanout = spark, fanout
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = []
+        self.paths: dict[str, str] = {}
 
     def tables(self) -> list[DataFrame]:
         return [self.spark.table(name) for level in self.levels for name in level]
 
     def keys(self) -> DataFrame:
-        """All keys with their first document, each once."""
-        first, *others = self.tables()
+        """All keys with their first document, each once; read without the buckets, so that a join can split a frequent key."""
+        first, *others = (
+            self.spark.read.schema("key binary, first_doc long").parquet(self.paths[name]) for level in self.levels for name in level
+        )
         for other in others:
             first = first.unionByName(other)
         return first
@@ -65,9 +68,10 @@ class LineRuns:
 
     def _place(self, keys: DataFrame, level: int) -> None:
         name = f"line_run_{uuid.uuid4().hex}"
+        self.paths[name] = new_folder(self.spark, name)
         (
             keys.repartition(self.buckets, "key").write.bucketBy(self.buckets, "key").sortBy("key")
-            .option("path", new_folder(self.spark, name)).saveAsTable(name)
+            .option("path", self.paths[name]).saveAsTable(name)
         )
         if len(self.levels) == level:
             self.levels.append([])
@@ -98,10 +102,11 @@ def line_flags(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT,
     batch = F.lit(0)
     for bound in sorted(set(bounds)):
         batch = batch + (F.col("doc") > bound).cast("int")
+    # The outer form of explode: the plain one adds a filter that would split each text twice.
     lines = (
         _identified(docs.select("doc_id", "text"))
         .select(F.col("_doc").alias("doc"), F.col("_text").alias("text"),
-                F.posexplode(split_lines(F.col("text"))).alias("place", "line"))
+                F.posexplode_outer(split_lines(F.col("text"))).alias("place", "line"))
         .select("doc", "text", "place", line_key(F.col("line"), least_length).alias("key"))
     )
     path = new_folder(spark, "lines")

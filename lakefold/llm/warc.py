@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakefold.llm.common import new_folder
+from lakefold.llm.common import new_folder, written
 
 # Fixed values of the format (WARC 1.1, RFC 4648).
 END = "\r\n"
@@ -76,6 +76,7 @@ def resolve(heads: DataFrame, least_bytes: int = 0) -> DataFrame:
         heads.where(F.col("bytes") >= least_bytes).groupBy("digest")
         .agg(F.min(F.struct(last.alias("order"), "page_id", "url")).alias("first"))
     )
+    originals = written(originals, "originals")  # so that the join can split a payload with very many copies
     return (
         heads.groupBy("page_id", "digest").agg(F.first("bytes").alias("bytes"))
         .join(originals, "digest", "left")
@@ -207,6 +208,7 @@ def resolved(records: DataFrame) -> DataFrame:
         records.where("warc_type = 'response'").groupBy(F.col("record_id").alias("_id"))
         .agg(F.min("page_id").alias("refers_to"))
     )
+    responses = written(responses, "responses")
     return records.join(responses, F.col("refers_to_record") == F.col("_id"), "left").drop("_id")
 
 
