@@ -104,7 +104,8 @@ class PositionalIndex:
 def build_index(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, anchors: int = ANCHORS) -> PositionalIndex:
     windows = written(benchmark_windows(benchmark, window), "windows")
     terms = windows.select(F.explode("terms").alias("term")).distinct()
-    windows = written(anchored(windows, term_frequencies(docs, terms), anchors), "anchored")
+    frequencies = broadcast_if_small(written(term_frequencies(docs, terms), "frequencies"))
+    windows = written(anchored(windows, frequencies, anchors), "anchored")
     wanted = (
         windows.select(F.explode("rarest").alias("r")).groupBy(F.col("r.term").alias("term"))
         .agg(F.min("r.rank").alias("rank"))
