@@ -29,7 +29,8 @@ def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.find_repeats(table(spark, sf_dir, "documents"))
+    """Documents that hold a passage of another one, with its places; others are not listed."""
+    return suffix_dedup.find_repeats(table(spark, sf_dir, "documents")).where("n_repeated > 0")
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -182,6 +182,7 @@ def _matches(doc, place, right, left, passage, k) -> tuple[np.ndarray, np.ndarra
             other = at + distance
             agreed = np.minimum(agreed, next_to[other + (way < 0)])
             on = (agreed >= k) & (agreed + most_left[at] >= passage)
+            on &= (best_left[at] < most_left[at]) | (best_right[at] < most_right[at])  # else nothing can be added
             at, agreed, other = at[on], agreed[on], other[on]
             compare(at, other)
     rows = np.flatnonzero(best_left + best_right >= passage)
@@ -230,6 +231,8 @@ def repeated_spans(docs: DataFrame, passage: int = PASSAGE, k: int = K) -> DataF
     )
     kept = written(_anchor_rows(plain, passage, k), "anchors")
     repeated = kept.groupBy("gram").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("gram")
+    # A table of its own, so that the join below is between two shuffles and Spark can split frequent first words.
+    repeated = written(repeated, "grams")
     places = (
         kept.join(repeated, "gram").groupBy(F.col("doc").alias("_doc"), F.col("text").alias("_text"))
         .agg(F.sort_array(F.collect_set("place")).alias("places"))
