@@ -6,10 +6,10 @@
    number of nodes that have them; ordered rare-first, with the unshared ones before all.  A node with less than
    0.8 of its shingles shared has no partner.
 3. Prefix filter: nodes that link share a shingle in their prefixes, the first ``n - ceil(0.8 n) + 1`` in that order.
-   Nodes that meet at a prefix shingle pass the length and the positional filter, each pair once, then the suffix filter and
-   the exact overlap.
-4. Components only need enough links: first neighbours in each prefix list (by size) are verified and connected, then
-   the pairs left are those that meet in a list but are in different components.  So a large group of near copies costs a pair
+   Nodes that meet at a prefix shingle pass the length and the positional filter and a bitmap bound, each pair once, then
+   the suffix filter and the exact overlap.
+4. Components only need enough links: first the nodes of each prefix list meet one hub of it, are verified and connected, and
+   at last all pairs that meet in a list but are in different components.  So a large group of near copies costs a pair
    per member, not all pairs, and no link between components is left out.
 
 A shingle that many documents of one slice hold is known to be shared and frequent there.  It is ordered after
@@ -25,11 +25,12 @@ are copies of each other; an empty table gives an empty result; other columns ar
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakefold.llm.common import broadcast_if_small, written
@@ -38,18 +39,22 @@ from lakefold.llm.scan import fold_table, mixed, multipliers, text_slices, word_
 
 WORDS = 5
 SPACE = b"\t\n\x0b\x0c\r "
-SLICE = 2 << 20
-FLUSH = 1_500_000  # shingles that are packed together
+SLICE = 1 << 20
+FLUSH = 800_000  # shingles that are packed together
 HOT = 64  # nodes of one flush that make a shingle frequent
+SKETCH = 8  # words of 64 bits
+ROUNDS = 2
+COUNTED = 4  # parts in which a task counts its shingles
 LAST_ID = 2**63 - 1
 PRINT_MASK = np.uint64((1 << 48) - 1)
 FREQUENT = np.uint32(0xFFFFFFFF)
 POSTINGS, MARKS, KNOWN, DOCUMENTS = range(4)
-PACKED = "bucket int, kind int, nodes binary, sizes binary, counts binary, prints binary, extra binary"
+# Of documents, ``counts`` are set sizes, ``prints`` ids and ``extra`` hashes of texts.
+PACKED = "bucket int, kind int, nodes binary, counts binary, prints binary, extra binary"
 PACKED_ARROW = pa.schema([("bucket", pa.int32()), ("kind", pa.int32())]
-                         + [(c, pa.binary()) for c in ("nodes", "sizes", "counts", "prints", "extra")])
+                         + [(c, pa.binary()) for c in ("nodes", "counts", "prints", "extra")])
 SETS = (
-    "doc_id long, text_hash long, n long, node long, shared int, prefix array<long>, prints binary"
+    "doc_id long, text_hash long, n long, node long, shared int, prefix array<long>, sketch array<long>, prints binary"
 )
 
 
@@ -105,25 +110,23 @@ def _unpack(data: bytes) -> np.ndarray:
     return eight.reshape(-1).view("<u8")
 
 
-def _by_node(bucket, kind, target, nodes, sizes, prints, extra=None) -> Iterator[tuple]:
-    """Packed rows of entries ``node, size, print``, one per value of ``target``, sorted by node."""
+def _by_node(kind, target, nodes, prints, extra=None) -> Iterator[tuple]:
+    """Packed rows of entries ``node, print``, one per value of ``target``, sorted by node."""
     order = np.lexsort((nodes, target))
-    target, nodes, sizes, prints = target[order], nodes[order], sizes[order], prints[order]
+    target, nodes, prints = target[order], nodes[order], prints[order]
     extra = None if extra is None else extra[order]
     cuts = np.flatnonzero(np.diff(target, prepend=-1, append=-1))
     for a, b in zip(cuts[:-1], cuts[1:]):
         head = np.flatnonzero(np.diff(nodes[a:b], prepend=~nodes[a]))
-        yield (int(target[a]), kind, nodes[a:b][head].tobytes(), sizes[a:b][head].astype(np.int32).tobytes(),
-               np.diff(head, append=b - a).astype(np.int32).tobytes(), _pack(prints[a:b]),
-               b"" if extra is None else extra[a:b].tobytes())
+        yield (int(target[a]), kind, nodes[a:b][head].tobytes(), np.diff(head, append=b - a).astype(np.int32).tobytes(),
+               _pack(prints[a:b]), b"" if extra is None else extra[a:b].tobytes())
 
 
-def _entries(rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``node, size, print`` of each entry of packed rows."""
+def _entries(rows) -> tuple[np.ndarray, np.ndarray]:
+    """``node, print`` of each entry of packed rows."""
     counts = np.frombuffer(b"".join(r["counts"] for r in rows), np.int32)
     nodes = np.frombuffer(b"".join(r["nodes"] for r in rows), np.uint64)
-    sizes = np.frombuffer(b"".join(r["sizes"] for r in rows), np.int32)
-    return np.repeat(nodes, counts), np.repeat(sizes, counts), _unpack(b"".join(r["prints"] for r in rows))
+    return np.repeat(nodes, counts), _unpack(b"".join(r["prints"] for r in rows))
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -135,26 +138,29 @@ def _flush(parts: list[tuple], buckets: int, hot: int) -> pa.RecordBatch:
     """Packed rows of slices of sets: postings by shingle, marks of frequent ones, and the documents."""
     ids, texts, counts, shingles = (np.concatenate(x) for x in zip(*parts))
     node = _sums(mixed(shingles ^ np.uint64(0xA5A5A5A5A5A5A5A5)), counts)
-    home = int(node[0] % np.uint64(buckets)) if len(node) else 0
-    rows = [(home, DOCUMENTS, node.tobytes(), counts.astype(np.int32).tobytes(), b"", ids.tobytes(), texts.tobytes())]
+    many, rows = np.uint64(buckets), []
+    home = (node % many).astype(np.int64)
+    for bucket in np.unique(home):
+        own = home == bucket
+        rows.append((int(bucket), DOCUMENTS, node[own].tobytes(), counts[own].astype(np.int32).tobytes(),
+                     ids[own].tobytes(), texts[own].tobytes()))
     first = np.zeros(len(node), bool)
     first[np.unique(node, return_index=True)[1]] = True
     first &= counts > 0
     kept = np.repeat(first, counts)
-    prints, nodes, sizes = shingles[kept] & PRINT_MASK, np.repeat(node, counts)[kept], np.repeat(counts, counts)[kept]
+    prints, nodes = shingles[kept] & PRINT_MASK, np.repeat(node, counts)[kept]
     ordered = np.sort(prints)
     value, begin = np.unique(ordered, return_index=True)
     frequent = value[np.diff(begin, append=len(ordered)) > hot]
-    many = np.uint64(buckets)
     if len(frequent):
         at = np.minimum(np.searchsorted(frequent, prints), len(frequent) - 1)
         known = frequent[at] == prints
-        rows += _by_node(0, KNOWN, (nodes[known] % many).astype(np.int64), nodes[known], sizes[known], prints[known])
+        rows += _by_node(KNOWN, (nodes[known] % many).astype(np.int64), nodes[known], prints[known])
         place = (frequent % many).astype(np.int64)
         for bucket in np.unique(place):
-            rows.append((int(bucket), MARKS, b"", b"", b"", _pack(frequent[place == bucket]), b""))
-        prints, nodes, sizes = prints[~known], nodes[~known], sizes[~known]
-    rows += _by_node(0, POSTINGS, (prints % many).astype(np.int64), nodes, sizes, prints)
+            rows.append((int(bucket), MARKS, b"", b"", _pack(frequent[place == bucket]), b""))
+        prints, nodes = prints[~known], nodes[~known]
+    rows += _by_node(POSTINGS, (prints % many).astype(np.int64), nodes, prints)
     return _batch(rows)
 
 
@@ -178,68 +184,93 @@ def _packed_sets(docs: DataFrame, words: int, buckets: int, hot: int) -> DataFra
     return plain.mapInArrow(sets, PACKED)
 
 
+def _shared(nodes: np.ndarray, prints: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The entries whose shingle more than one node has, with the number of such nodes."""
+    if len(prints) == 0:
+        return nodes, prints, np.zeros(0, np.uint32)
+    order = np.lexsort((nodes, prints))
+    nodes, prints = nodes[order], prints[order]
+    new = np.ones(len(prints), bool)
+    new[1:] = (prints[1:] != prints[:-1]) | (nodes[1:] != nodes[:-1])
+    nodes, prints = nodes[new], prints[new]
+    begin = np.flatnonzero(np.diff(prints, prepend=~prints[0]))
+    run = np.diff(begin, append=len(prints))
+    times = np.repeat(run, run).astype(np.uint32)
+    if len(marks):
+        at = np.minimum(np.searchsorted(marks, prints), len(marks) - 1)
+        times[marks[at] == prints] = FREQUENT
+    kept = times > 1
+    return nodes[kept], prints[kept], times[kept]
+
+
 def _count_shared(buckets: int):
     def count(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
         out = [tuple(r.values()) for r in rows if r["kind"] in (KNOWN, DOCUMENTS)]
         postings = [r for r in rows if r["kind"] == POSTINGS]
         if postings:
-            nodes, sizes, prints = _entries(postings)
-            order = np.lexsort((nodes, prints))
-            nodes, sizes, prints = nodes[order], sizes[order], prints[order]
-            new = np.ones(len(prints), bool)
-            new[1:] = (prints[1:] != prints[:-1]) | (nodes[1:] != nodes[:-1])
-            nodes, sizes, prints = nodes[new], sizes[new], prints[new]
-            begin = np.flatnonzero(np.diff(prints, prepend=~prints[0]))
-            run = np.diff(begin, append=len(prints))
-            times = np.repeat(run, run).astype(np.uint32)
+            nodes, prints = _entries(postings)
             marks = np.unique(_unpack(b"".join(r["prints"] for r in rows if r["kind"] == MARKS)))
-            if len(marks):
-                at = np.minimum(np.searchsorted(marks, prints), len(marks) - 1)
-                times[marks[at] == prints] = FREQUENT
-            shared = times > 1
-            nodes, sizes, prints, times = nodes[shared], sizes[shared], prints[shared], times[shared]
-            out += _by_node(0, POSTINGS, (nodes % np.uint64(buckets)).astype(np.int64), nodes, sizes, prints, times)
+            shared = [[], [], []]
+            # A part at a time, for the sake of memory; equal shingles are in one part.
+            part = (prints // np.uint64(buckets)) % np.uint64(COUNTED)
+            for number in range(COUNTED):
+                own = part == number
+                for column, values in zip(shared, _shared(nodes[own], prints[own], marks)):
+                    column.append(values)
+            nodes, prints, times = map(np.concatenate, shared)
+            out += _by_node(POSTINGS, (nodes % np.uint64(buckets)).astype(np.int64), nodes, prints, times)
         return pa.Table.from_batches([_batch(out)])
 
     return count
 
 
+def parity_sketch(prints: np.ndarray) -> list[int]:
+    """Bits that tell for each hash value whether an odd number of shingles has it.
+
+    Two sketches differ in at most as many bits as the sets have shingles that the other has not.
+    """
+    odd = (np.bincount((prints % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64).tolist()
+
+
 def _assemble(group: pa.Table) -> pa.Table:
     """Documents as they are, and nodes that may have a partner with their shared shingles, rare-first."""
-    rows, out = group.to_pylist(), []
+    rows, out, size = group.to_pylist(), [], {}
     for r in rows:
         if r["kind"] == DOCUMENTS:
-            ids, sizes = np.frombuffer(r["prints"], np.int64), np.frombuffer(r["sizes"], np.int32)
+            ids, sizes = np.frombuffer(r["prints"], np.int64), np.frombuffer(r["counts"], np.int32)
             node, texts = np.frombuffer(r["nodes"], np.int64), np.frombuffer(r["extra"], np.int64)
-            out += zip(*(x.tolist() for x in (ids, texts, sizes, node)), *[[None] * len(ids)] * 3)
+            out += zip(*(x.tolist() for x in (ids, texts, sizes, node)), *[[None] * len(ids)] * 4)
+            size.update(zip(node.tolist(), sizes.tolist()))
     entries = [r for r in rows if r["kind"] in (POSTINGS, KNOWN)]
     if entries:
-        nodes, sizes, prints = _entries(entries)
+        nodes, prints = _entries(entries)
         times = np.concatenate([
             np.frombuffer(r["extra"], np.uint32) if r["kind"] == POSTINGS else np.full(len(r["prints"]) // 6, FREQUENT)
             for r in entries])
         order = np.lexsort((prints, times, nodes))
-        nodes, sizes, prints = nodes[order], sizes[order], prints[order]
+        nodes, prints = nodes[order], prints[order]
         new = np.ones(len(prints), bool)
         new[1:] = (prints[1:] != prints[:-1]) | (nodes[1:] != nodes[:-1])
-        nodes, sizes, prints = nodes[new], sizes[new], prints[new]
+        nodes, prints = nodes[new], prints[new]
         begin = np.flatnonzero(np.diff(nodes, prepend=~nodes[0]))
         for a, b in zip(begin, np.append(begin[1:], len(nodes))):
-            n, shared = int(sizes[a]), int(b - a)
+            node = int(nodes[a].astype(np.int64))
+            n, shared = size[node], int(b - a)
             if shared >= needed(n):
                 prefix = n - needed(n) + 1 - (n - shared)
-                out.append((None, None, n, int(nodes[a].astype(np.int64)), shared,
-                            prints[a : a + prefix].astype(np.int64).tolist(), prints[a:b].tobytes()))
-    columns = list(zip(*out)) or [[]] * 7
-    kinds = (*[pa.int64()] * 4, pa.int32(), pa.list_(pa.int64()), pa.binary())
-    names = ("doc_id", "text_hash", "n", "node", "shared", "prefix", "prints")
+                out.append((None, None, n, node, shared,
+                            prints[a : a + prefix].astype(np.int64).tolist(), parity_sketch(prints[a:b]), prints[a:b].tobytes()))
+    columns = list(zip(*out)) or [[]] * 8
+    kinds = (*[pa.int64()] * 4, pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
+    names = ("doc_id", "text_hash", "n", "node", "shared", "prefix", "sketch", "prints")
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
 def sets_and_nodes(docs: DataFrame, words: int = WORDS, hot: int = HOT) -> DataFrame:
     """Rows ``doc_id, text_hash, n, node`` of all documents, and rows with ``prefix`` of the nodes that may link."""
-    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counted = _packed_sets(docs, words, buckets, hot).groupBy("bucket").applyInArrow(_count_shared(buckets), PACKED)
     return written(counted.groupBy("bucket").applyInArrow(_assemble, SETS), "sets")
 
@@ -275,53 +306,80 @@ def _verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.distinct().join(one, "a").join(two, "b").mapInArrow(_verify, "a long, b long")
 
 
-def _may_link(n_a, n_b, place_a, place_b):
-    """Length and positional filter; at the first shingle that two sets share, the rest bounds the overlap."""
-    need = F.ceil((n_a + n_b) * 4 / F.lit(9.0) - 1e-9)
-    return (n_a * 5 >= n_b * 4) & (n_b * 5 >= n_a * 4) & (F.least(n_a - place_a, n_b - place_b) >= need)
+def _may_link(a, b):
+    """Length and positional filter on two entries of one prefix list, given as functions of column names.
+
+    At the first shingle that two sets share, what is left of either bounds the overlap.
+    """
+    need = _need(a, b)
+    return (
+        (a("n") * 5 >= b("n") * 4) & (b("n") * 5 >= a("n") * 4)
+        & (F.least(a("n") - a("place"), b("n") - b("place")) >= need)
+    )
+
+
+def _need(a, b):
+    return F.ceil((a("n") + b("n")) * 4 / F.lit(9.0) - 1e-9)
 
 
-def links(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Two tables of verified links ``a, b``: enough to connect all nodes that are connected."""
+def _sketches_allow(a, b):
+    """Bitmap filter: only shared shingles can overlap, and the sketches bound from below by how many they differ."""
+    differing = F.lit(0)
+    for i in range(SKETCH):
+        differing = differing + F.bit_count(a("sketch")[i].bitwiseXOR(b("sketch")[i]))
+    return differing <= a("shared") + b("shared") - _need(a, b) * 2
+
+
+def _paired(one: DataFrame, two: DataFrame, more) -> DataFrame:
+    """Pairs ``a, b`` of nodes that meet in a prefix list and pass the filters and the condition ``more``."""
+    x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
+    met = one.alias("x").join(two.alias("y"), (x("shingle") == y("shingle")) & more(x, y) & _may_link(x, y))
+    return met.select(F.least(x("node"), y("node")).alias("a"), F.greatest(x("node"), y("node")).alias("b"))
+
+
+def links(nodes: DataFrame) -> DataFrame:
+    """Verified links ``a, b``: enough to connect all nodes that are connected."""
     entries = written(nodes.select(
-        "node", "n", F.posexplode("prefix").alias("i", "shingle"), (F.col("n") - F.col("shared")).alias("unshared")
-    ).select("node", "n", "shingle", (F.col("i") + F.col("unshared")).alias("place")), "prefixes")
-    # Lists are cut into ranges of sizes and, as a list may still be of any length, into parts by node.
-    band = F.floor(F.log("n") / F.log(F.lit(1.25)))
-    listed = Window.partitionBy("shingle", band, F.pmod("node", F.lit(16))).orderBy("n", "node")
-    near = entries.select(
-        "node", "n", "place", *[F.lag(c).over(listed).alias(f"{c}_b") for c in ("node", "n", "place")]
-    ).where(F.col("node_b").isNotNull() & _may_link(F.col("n"), F.col("n_b"), F.col("place"), F.col("place_b")))
-    first = written(_verified(
-        near.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b")), nodes), "links")
-    # What remains: pairs that meet in a list but not yet in a component.
-    joined = connected(first)
-    placed = entries.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = written(placed.select("node", "n", "shingle", "place", "component"), "placed")
-    largest = (
+        "node", "n", "shared", F.posexplode("prefix").alias("i", "shingle")
+    ).select("node", "n", "shingle", (F.col("i") + F.col("n") - F.col("shared")).cast("int").alias("place")), "prefixes")
+    apart = lambda x, y: x("component") != y("component")
+    found, placed = [], entries.withColumn("component", F.col("node"))
+    for number in range(ROUNDS):
+        # Each list's nodes meet a hub, first of the whole list and then of its largest component: the node with the
+        # fewest shingles of its own, which is the likeliest to link with the others.
+        likely = placed if number == 0 else placed.join(_largest_components(placed), "shingle").where("component = largest")
+        hubs = written(
+            likely.groupBy("shingle").agg(
+                F.min(F.struct("place", "node", "n", "component")).alias("hub")
+            ).select("shingle", "hub.*"), "hubs")
+        found.append(written(_verified(_paired(placed, hubs, apart), nodes), "links"))
+        joined = connected(functools.reduce(DataFrame.unionByName, found))
+        placed = written(
+            entries.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
+    # What remains: pairs that meet in a list but not yet in a component.  These could be many, so sketches come along.
+    mixed_lists = placed.join(_largest_components(placed), "shingle")
+    mixed_lists = written(mixed_lists.join(nodes.select("node", "shared", "sketch"), "node"), "mixed")
+    rest = _paired(
+        mixed_lists.where("component <> largest"), mixed_lists,
+        lambda x, y: apart(x, y) & ((y("component") == x("largest")) | (x("component") < y("component"))) & _sketches_allow(x, y),
+    )
+    found.append(written(_verified(rest, nodes), "links"))
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def _largest_components(placed: DataFrame) -> DataFrame:
+    """``shingle, largest``: of each list with more than one component the one with the most nodes."""
+    return written(
         placed.groupBy("shingle", "component").agg(F.count("*").alias("m"))
         .groupBy("shingle").agg(F.max(F.struct("m", "component")).alias("top"), F.count("*").alias("k"))
-        .where("k > 1").select("shingle", F.col("top.component").alias("largest"))
-    )
-    mixed_lists = written(placed.join(largest, "shingle"), "mixed")
-    a = mixed_lists.where("component <> largest").alias("a")
-    b = mixed_lists.alias("b")
-    apart = (F.col("b.component") == F.col("a.largest")) | (F.col("a.component") < F.col("b.component"))
-    rest = a.join(b, F.col("a.shingle") == F.col("b.shingle")).where(
-        apart & (F.col("a.component") != F.col("b.component"))
-        & _may_link(F.col("a.n"), F.col("b.n"), F.col("a.place"), F.col("b.place"))
-    )
-    second = written(_verified(
-        rest.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")), nodes), "links")
-    return first, second
+        .where("k > 1").select("shingle", F.col("top.component").alias("largest")), "largest")
 
 
 def grouped(docs: DataFrame, words: int = WORDS, hot: int = HOT) -> DataFrame:
     """``doc_id, text_hash, n, group``, one row per row of ``docs``; a missing id is ``LAST_ID``, a missing group null."""
     table = sets_and_nodes(docs, words, hot)
     documents = table.where("prefix is null").select("doc_id", "text_hash", "n", "node")
-    first, second = links(table.where("prefix is not null"))
-    found = connected(first.unionByName(second)).withColumnRenamed("node", "linked")
+    found = connected(links(table.where("prefix is not null"))).withColumnRenamed("node", "linked")
     joined = documents.join(found, documents["node"] == found["linked"], "left")
     own = F.coalesce("component", "node")
     return joined.select("doc_id", "text_hash", "n", F.when(F.col("n") > 0, own).alias("group"))
@@ -330,7 +388,8 @@ def grouped(docs: DataFrame, words: int = WORDS, hot: int = HOT) -> DataFrame:
 def near_copies(docs: DataFrame, words: int = WORDS, hot: int = HOT) -> DataFrame:
     """``doc_id, n_shingles, component_id``, one row per row of ``docs`` (``doc_id, text``)."""
     rows = written(grouped(docs, words, hot), "groups")
-    names = rows.where("group is not null").groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    # Written, so that the join is between two shuffles and Spark can split a large group.
+    names = written(rows.where("group is not null").groupBy("group").agg(F.min("doc_id").alias("component_id")), "names")
     component = F.coalesce("component_id", "doc_id")  # a row without a group is its own
     return rows.join(names, "group", "left").select(
         F.nullif("doc_id", F.lit(LAST_ID)).alias("doc_id"), F.col("n").alias("n_shingles"),
@@ -341,7 +400,7 @@ def near_copies(docs: DataFrame, words: int = WORDS, hot: int = HOT) -> DataFram
 def first_of_each(docs: DataFrame, words: int = WORDS, hot: int = HOT) -> DataFrame:
     """One row of each component, of the smallest doc_id, with all its columns; rows without words all stay."""
     rows = written(grouped(docs.select("doc_id", "text"), words, hot), "groups").where("group is not null")
-    first = rows.groupBy("group").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    first = written(rows.groupBy("group").agg(F.min(F.struct("doc_id", "text_hash")).alias("first")), "first")
     dropped = rows.join(first, "group").where(
         (F.col("doc_id") != F.col("first.doc_id")) | (F.col("text_hash") != F.col("first.text_hash"))
     ).select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_text")).distinct()
