@@ -30,6 +30,7 @@ UNDETERMINED = "und"
 FOLDS = 5
 SAMPLE_DOCS = 60
 SAMPLE_SYMBOLS = 24_000
+ROWS = 1000  # that are lower-cased together
 BLANK = 1  # symbol of everything that is not a letter; 0 is the separator
 UNSEEN = 2  # letters that no sample has
 
@@ -141,14 +142,14 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_symbols: int = S
 def bits(model: Model, text: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Bits per symbol of each document (rows) in each language (columns)."""
     symbols, kept = _symbols(text, model.symbol)
-    ends = np.concatenate([[0], np.cumsum(kept)])[starts]  # a separator is always kept
-    letters = np.concatenate([[0], np.cumsum(symbols != 0)])
-    sizes = np.maximum(letters[ends[1:]] - letters[ends[:-1]], 1)
+    # A separator is always kept, so every document has a symbol.
+    ends = np.concatenate([[0], np.cumsum(np.add.reduceat(kept, starts[:-1], dtype=np.int64))])
+    sizes = np.maximum(np.diff(ends) - 1, 1)  # without the separator
     found = np.empty((len(starts) - 1, len(model.parsers)))
     for i, parser in enumerate(model.parsers):
         begun = marked(symbols, parser.table, 0, parser.limit) & (symbols != 0)
-        phrases = np.concatenate([[0], np.cumsum(begun)])
-        found[:, i] = (phrases[ends[1:]] - phrases[ends[:-1]]) * parser.bits_per_phrase / sizes
+        # Sums between the places of the documents; the separator at the end of each has none of its own.
+        found[:, i] = np.add.reduceat(begun, ends[:-1], dtype=np.int64) * parser.bits_per_phrase / sizes
     return found
 
 
@@ -163,11 +164,9 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         symbol, parsers = shared.value
         model = Model(symbol, tuple(Parser(*p) for p in parsers))
         names = np.array([p.language for p in model.parsers], object)
-        for batch in batches:
-            column = batch.column("text")
-            lowered = pc.utf8_lower(column)
-            for first, last, text, starts in text_slices(lowered):
-                rows = batch.slice(first, last - first)
+        for part in (b.slice(i, ROWS) for b in batches for i in range(0, len(b), ROWS)):
+            for first, last, text, starts in text_slices(pc.utf8_lower(part.column("text"))):
+                rows = part.slice(first, last - first)
                 worded = np.array([x is not None and any(map(str.isalpha, x))
                                    for x in rows.column("text").to_pylist()], bool)
                 languages = np.full(len(rows), UNDETERMINED, object)

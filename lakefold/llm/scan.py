@@ -9,8 +9,8 @@ import pyarrow as pa
 
 # A byte that UTF-8 never contains; it stands between documents.
 SEPARATOR = 0xFF
-SLICE_BYTES = 8 << 20
-LANE = 2048
+SLICE_BYTES = 3 << 20
+LANE = 1024
 WARM_UP = 64
 
 
