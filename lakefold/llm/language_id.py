@@ -153,9 +153,13 @@ def bits(model: Model, text: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return found
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``: how much better the winner is than the next language, 0 to 1."""
+def predict(docs: DataFrame, model: Model, keep_text: bool = True) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score``: how much better the winner is than the next language, 0 to 1.
+
+    Without ``keep_text`` the texts are read but not handed back.
+    """
     columns = [c for c in docs.columns if c not in ("lang_pred", "score", "_bits")]
+    returned = [c for c in columns if keep_text or c != "text"]
     # Plain arrays: a broadcast value is unpickled by executors that need not have this package.
     plain_model = (model.symbol, [(p.language, p.table, p.limit, p.bits_per_phrase) for p in model.parsers])
     shared = docs.sparkSession.sparkContext.broadcast(plain_model)
@@ -180,13 +184,13 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                         score[worded] = (1 - lowest[:, 0] / np.maximum(lowest[:, 1], 1e-9))[worded]
                     else:
                         score[worded] = 1.0
+                kept = rows.select(returned)
                 yield pa.RecordBatch.from_arrays(
-                    [*rows.columns, pa.array(languages, pa.string()), pa.array(score)],
-                    [*rows.schema.names, "lang_pred", "score"],
+                    [*kept.columns, pa.array(languages, pa.string()), pa.array(score)], [*returned, "lang_pred", "score"]
                 )
 
     plain = docs.select(*columns)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields if f.name in returned)
     return plain.mapInArrow(scan, f"{schema}, lang_pred string, score double")
 
 

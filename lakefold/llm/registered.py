@@ -37,8 +37,9 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = language_id.fit(documents.select("doc_id", "text", "lang"))
     return language_id.predict(
-        documents.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "text"), model
-    ).drop("text")
+        documents.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "text"), model,
+        keep_text=False,
+    )
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
