@@ -5,8 +5,8 @@ and token, and the output is a class of tokens and a member of the class, two sm
 whole vocabulary.  A document's score is the sum of the log-probabilities of all its tokens given their surroundings.
 
 The vocabulary is counted over all documents.  Training is data-parallel: in each round every partition trains a
-copy of the network by mini-batches on every ``STRIDE``-th token of its documents, and the copies are averaged, weighted
-by their examples, a fixed number at a time, until one is left.  What is gathered thus grows with the corpus, and no task or
+copy of the network by mini-batches on every ``STRIDE``-th token of its documents, each round on others, so that all rounds together
+have every token as a target once; the copies are averaged, weighted by their examples, a fixed number at a time, until one is left.  What is gathered thus grows with the corpus, and no task or
 driver holds more than a fixed number of networks.
 
 Words are runs of letters and digits (all bytes above ASCII count as letters) with A-Z lower-cased; those outside the vocabulary
@@ -34,8 +34,8 @@ HIDDEN = 24
 CLASSES = 46
 MEMBERS = 46
 SPARE = 64
-STRIDE = 16
 ROUNDS = 2
+STRIDE = ROUNDS  # every token is a target in one of the rounds
 BATCH = 2048
 RATE = 0.15
 SEED = 7
@@ -191,6 +191,12 @@ def vocabulary(docs: DataFrame, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
     return words[order], order
 
 
+def targets(doc: np.ndarray, starts: np.ndarray, number: int, stride: int) -> np.ndarray:
+    """The words that are targets in a round: by their places in their documents, however these are dealt to slices."""
+    begin = np.searchsorted(doc, np.arange(len(starts)))
+    return np.flatnonzero((np.arange(len(doc)) - begin[doc] + number) % stride == 0)
+
+
 def _trained(docs: DataFrame, network: Network, words, number: int, stride: int) -> DataFrame:
     """``shard, n, weights``: the network as each partition trained it, and on how many examples."""
     shape, start = network.shape, network.packed()
@@ -204,9 +210,7 @@ def _trained(docs: DataFrame, network: Network, words, number: int, stride: int)
             shard = batch.column("shard")[0].as_py() if shard is None and len(batch) else shard
             for _, _, text, starts in text_slices(batch.column("text"), SLICE):
                 tokens, doc = tokens_of(text, starts, known, token, shape)
-                begin = np.searchsorted(doc, np.arange(len(starts)))
-                place = np.arange(len(tokens)) - begin[doc]
-                at = np.flatnonzero((place + doc + number * (stride // 2)) % stride == 0)
+                at = targets(doc, starts, number, stride)
                 for i in range(0, len(at), BATCH):
                     part = at[i : i + BATCH]
                     mine.learn(windows(tokens, doc, part, shape), tokens[part], squares)

@@ -207,6 +207,18 @@ def test_scores_are_sums_over_tokens(spark):
     assert lm_score.score(empty, lm_score.fit(empty, SMALL)).count() == 0
 
 
+def test_every_token_is_a_target_once(spark):
+    rng = random.Random(8)
+    rows = [(i, sentence(rng, i % 40), "en", "a") for i in range(300)]
+    net, words = lm_score.Network.begin(SMALL), (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    docs, rounds = documents(spark, rows).repartition(5), range(lm_score.ROUNDS)
+    seen = [r.n for k in rounds for r in lm_score._trained(docs, net, words, k, lm_score.STRIDE).collect()]
+    assert sum(seen) == sum(len(r[1].split()) for r in rows)
+    doc, starts = np.array([0, 0, 0, 2, 3, 3]), np.array([0, 9, 10, 14, 19])
+    at = [lm_score.targets(doc, starts, k, lm_score.STRIDE).tolist() for k in rounds]
+    assert sorted(sum(at, [])) == list(range(6))
+
+
 def test_networks_are_averaged_a_few_at_a_time(spark, monkeypatch):
     monkeypatch.setattr(lm_score, "AVERAGED", 3)
     copies = [(s, n, np.array([s, 1], np.float32).tobytes()) for s, n in ((0, 1), (1, 1), (4, 2), (11, 4))]
