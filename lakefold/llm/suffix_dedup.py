@@ -7,6 +7,10 @@ split by a hash of where they stand, so a passage in very many documents fills n
 words that follow and by those that precede, and matches are extended to the right and to the left.  Extensions reach ``PASSAGE`` words each way and kept suffixes are closer together, so
 the union of what they cover is the whole passage.
 
+Suffixes whose first words lie in more than one range partition are sorted again by what precedes.  The nearest ones of both orders bound
+how far a suffix can agree with any other; where no match has met the bound, or a partition ended before a neighbour of another document, all
+runs of ``PASSAGE`` words around the suffix that could still add something are looked up, by hash, among those of all suffixes with these first words.
+
 Words are runs of non-blanks with A-Z lower-cased, compared by 32 bits of hash.
 
 Defined results: null or wordless text has no passages; rows with one doc_id are one document and do not repeat each other; null
@@ -22,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakefold.llm.common import written
+from lakefold.llm.common import BROADCAST_ROWS, broadcast_if_small, written
 from lakefold.llm.mixing import word_count
 from lakefold.llm.scan import fold_table, mixed, multipliers, text_slices, word_hashes
 
@@ -32,9 +36,11 @@ SPACE = b"\t\n\x0b\x0c\r "
 SLICE = 2 << 20
 SUFFIX_BYTES = 1 << 23  # of suffix rows that are made at once
 LAST_ID = 2**63 - 1
-EDGES = 4  # rows of a range partition at either end that are compared across it
 SUFFIXES = "doc long, text long, place int, right binary, left binary"
-FOUND = "doc long, text long, first int, last int, edge long, place int, right binary, left binary"
+# Spans have ``first`` and ``last``; other rows are suffixes: how far they agree at most with what follows and precedes, and in matches so far.
+FOUND = ("doc long, text long, first int, last int, place int, right binary, left binary, "
+         "most_right int, most_left int, best_right int, best_left int")
+BEST = ["most_right", "most_left", "best_right", "best_left"]
 
 
 def sliding(values: np.ndarray, width: int, best) -> np.ndarray:
@@ -147,8 +153,18 @@ def _nearest(doc: np.ndarray, group: np.ndarray) -> np.ndarray:
     return np.concatenate(pairs, axis=1)
 
 
-def _matches(doc, place, right, left, passage, k) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows of sorted suffixes that agree with another document over ``passage`` words, and what they cover of their own.
+def _bound(doc: np.ndarray, most: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """``most``, or all words of the document where rows beyond the partition may agree longer."""
+    unknown = np.zeros(len(doc), bool)
+    for other in _neighbours(doc):
+        unknown |= other < 0
+    return np.where(unknown, (words != 0).sum(axis=1), most)
+
+
+def _matches(doc, right, left, passage, k) -> tuple[np.ndarray, ...]:
+    """How far each of the sorted suffixes agrees with others at most by what follows, and in matches of ``passage`` words ahead and back.
+
+    The first array numbers the groups of rows with equal first words.
 
     Neighbours by what follows and neighbours by what precedes bound how far a row can agree at all.
     Rows for which these neighbours do not reach both bounds are compared with further ones, as far as the words that
@@ -185,42 +201,130 @@ def _matches(doc, place, right, left, passage, k) -> tuple[np.ndarray, np.ndarra
             on &= (best_left[at] < most_left[at]) | (best_right[at] < most_right[at])  # else nothing can be added
             at, agreed, other = at[on], agreed[on], other[on]
             compare(at, other)
-    rows = np.flatnonzero(best_left + best_right >= passage)
-    return rows, place[rows] - best_left[rows], place[rows] + best_right[rows]
+    return group, _bound(doc, most_right, right), best_right, best_left
 
 
 def _columns(batches) -> tuple | None:
-    table = pa.Table.from_batches(batches)
-    if table.num_rows == 0:
+    if sum(map(len, batches)) == 0:
         return None
+    table = pa.Table.from_batches(batches)
     doc, text, place = (table.column(c).to_numpy() for c in ("doc", "text", "place"))
     right, left = (np.frombuffer(b"".join(table.column(c).to_pylist()), ">u4").reshape(len(doc), -1) for c in ("right", "left"))
     return doc, text, place, right, left
 
 
-def _found(doc, text, place, right, left, passage, k, edges: bool) -> pa.RecordBatch:
-    rows, first, last = _matches(doc, place, right, left, passage, k)
-    kept = np.unique(np.concatenate([np.arange(min(EDGES, len(doc))), np.arange(max(len(doc) - EDGES, 0), len(doc))])) if edges else rows[:0]
-    nothing = [None] * len(rows)
+def _rows_found(columns: tuple, passage: int, kept: np.ndarray, bounds: list[np.ndarray]) -> pa.RecordBatch:
+    """Spans of the rows that match, and the suffixes ``kept`` with their ``bounds``."""
+    doc, text, place, right, left = columns
+    best_right, best_left = bounds[2:]
+    rows = np.flatnonzero(best_left + best_right >= passage)
+    spans, others = [None] * len(rows), [None] * len(kept)
     return pa.RecordBatch.from_arrays([
         pa.array(np.concatenate([doc[rows], doc[kept]])), pa.array(np.concatenate([text[rows], text[kept]])),
-        pa.array(first.tolist() + [None] * len(kept), pa.int32()), pa.array(last.tolist() + [None] * len(kept), pa.int32()),
-        pa.array(nothing + kept.tolist(), pa.int64()), pa.array(nothing + place[kept].tolist(), pa.int32()),
-        pa.array(nothing + [x.tobytes() for x in right[kept]], pa.binary()),
-        pa.array(nothing + [x.tobytes() for x in left[kept]], pa.binary()),
-    ], ["doc", "text", "first", "last", "edge", "place", "right", "left"])
+        pa.array((place - best_left)[rows].tolist() + others, pa.int32()), pa.array((place + best_right)[rows].tolist() + others, pa.int32()),
+        pa.array(spans + place[kept].tolist(), pa.int32()),
+        *[pa.array(spans + [w.tobytes() for w in x[kept]], pa.binary()) for x in (right, left)],
+        *[pa.array(spans + x[kept].tolist(), pa.int32()) for x in bounds],
+    ], ["doc", "text", "first", "last", "place", "right", "left", *BEST])
 
 
-def _compare(passage: int, k: int, edges: bool):
+def _compare(passage: int, k: int):
+    """Spans, and the suffixes of the first and last group of each range partition, which may go on in the next."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = _columns(list(batches) or [pa.RecordBatch.from_pylist([], pa.schema(
-            [("doc", pa.int64()), ("text", pa.int64()), ("place", pa.int32()), ("right", pa.binary()), ("left", pa.binary())]))])
-        if columns:
-            yield _found(*columns, passage, k, edges)
+        if not (columns := _columns(list(batches))):
+            return
+        doc, _, _, right, left = columns
+        group, most_right, best_right, best_left = _matches(doc, right, left, passage, k)
+        kept = np.flatnonzero((group == group[0]) | (group == group[-1]))
+        yield _rows_found(columns, passage, kept, [most_right, (left != 0).sum(axis=1), best_right, best_left])
 
     return compare
 
 
+def _compare_back(passage: int, k: int):
+    """Spans by the nearest rows of suffixes in order of first words and what precedes, and the suffixes that other ones may add to."""
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = list(batches)
+        if not (columns := _columns(batches)):
+            return
+        doc, _, _, right, left = columns
+        table = pa.Table.from_batches(batches)
+        most_right, _, best_right, best_left = (table.column(c).to_numpy().astype(np.int64) for c in BEST)
+        group = np.concatenate([[0], np.cumsum((right[1:, :k] != right[:-1, :k]).any(axis=1))])
+        a, b = _nearest(doc, group)
+        ahead, back = _agreement(right[a], right[b]), _agreement(left[a], left[b])
+        most_left, long = np.zeros(len(doc), np.int64), ahead + back >= passage
+        for x in (a, b):
+            np.maximum.at(most_left, x, back)
+            np.maximum.at(best_right, x[long], ahead[long])
+            np.maximum.at(best_left, x[long], back[long])
+        most_left = _bound(doc, most_left, left)
+        open_ = (most_left + most_right >= passage) & ((best_left < most_left) | (best_right < most_right))
+        yield _rows_found(columns, passage, np.flatnonzero(open_), [most_right, most_left, best_right, best_left])
+
+    return compare
+
+
+def _runs(passage: int, wanted: np.ndarray | None, missing: bool):
+    """The runs of ``passage`` words that begin up to as many words before a suffix, by hash; only those among ``wanted``.
+
+    ``missing``: only those that could add to the matches of the suffix.
+    """
+    factors = multipliers(passage, 5)
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            step = max(1, SUFFIX_BYTES // (8 * passage))
+            for i in range(0, len(batch), step):
+                part = batch.slice(i, step)
+                right, left = (np.frombuffer(b"".join(part.column(c).to_pylist()), ">u4").reshape(len(part), -1) for c in ("right", "left"))
+                words = np.concatenate([left[:, ::-1], right], axis=1).astype(np.uint64)
+                total = np.zeros((len(part), passage + 1), np.uint64)
+                for j, factor in enumerate(factors):
+                    total += words[:, j : j + passage + 1] * factor
+                total = mixed(total).view(np.int64)
+                before = passage - np.arange(passage + 1)  # words of the run that precede the suffix
+                n_left, n_right = ((x != 0).sum(axis=1)[:, None] for x in (left, right))
+                inside = (before <= n_left) & (passage - before <= n_right)
+                if missing:
+                    most_right, most_left, best_right, best_left = (part.column(c).to_numpy()[:, None] for c in BEST)
+                    inside &= (before <= most_left) & (passage - before <= most_right)
+                    inside &= (before > best_left) | (passage - before > best_right)
+                if wanted is not None:
+                    inside &= np.isin(total, wanted)
+                row, column = np.nonzero(inside)
+                doc, text, place = (part.column(c).to_numpy()[row] for c in ("doc", "text", "place"))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(total[row, column]), pa.array(doc), pa.array(text), pa.array((place - before[column]).astype(np.int32))],
+                    ["run", "doc", "text", "first"])
+
+    return hashed
+
+
+RUNS = "run long, doc long, text long, first int"
+
+
+def _across(edges: DataFrame, parts: int, passage: int, k: int) -> list[DataFrame]:
+    """Spans of the suffixes whose first words lie in more than one range partition; ``edges`` has ``part``, the partition."""
+    edges = edges.withColumn("gram", F.substring("right", 1, 4 * k))
+    split = edges.groupBy("gram").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("gram")
+    split = written(edges.join(broadcast_if_small(written(split, "split")), "gram"), "across")
+    order = ["gram", "left", F.xxhash64("doc", "place", "text")]
+    again = split.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    found = written(again.select("doc", "text", "place", "right", "left", *BEST).mapInArrow(_compare_back(passage, k), FOUND), "back")
+    spans = found.where("first is not null")
+    open_ = found.where("first is null").withColumn("gram", F.substring("right", 1, 4 * k))
+    asked = written(open_.mapInArrow(_runs(passage, None, True), RUNS), "asked")
+    hashes = asked.select("run").distinct()
+    few = hashes.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    wanted = hashes.toArrow().column("run").to_numpy() if few else None
+    partners = split.join(broadcast_if_small(written(open_.select("gram").distinct(), "open")), "gram", "left_semi")
+    runs = partners.mapInArrow(_runs(passage, wanted, False), RUNS)
+    repeated = runs.groupBy("run").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("run")
+    more = asked.join(written(repeated, "runs"), "run").select("doc", "text", "first", (F.col("first") + passage).alias("last"))
+    return [spans, more]
+
+
 def repeated_spans(docs: DataFrame, passage: int = PASSAGE, k: int = K) -> DataFrame:
     """``doc, text, first, last``: ranges of words (from 0, end exclusive) that another document has too.
 
@@ -242,12 +346,13 @@ def repeated_spans(docs: DataFrame, passage: int = PASSAGE, k: int = K) -> DataF
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     suffixes = written(_suffix_rows(held, passage), "suffixes")
     sorted_suffixes = suffixes.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    found = written(sorted_suffixes.mapInArrow(_compare(passage, k, True), FOUND), "matches")
-    # The few rows at the ends of the range partitions, in one sorted list.
-    edges = found.where("edge is not null").select("doc", "text", "place", "right", "left")
-    across = edges.orderBy(*order).coalesce(1).mapInArrow(_compare(passage, k, False), FOUND)
+    matches = sorted_suffixes.mapInArrow(_compare(passage, k), FOUND).withColumn("part", F.spark_partition_id())
+    found = written(matches, "matches")
     spans = ["doc", "text", "first", "last"]
-    return found.where("edge is null").select(*spans).unionByName(across.select(*spans))
+    result = found.where("first is not null").select(*spans)
+    for more in _across(found.where("first is null"), parts, passage, k):
+        result = result.unionByName(more.select(*spans))
+    return result
 
 
 def merged(spans: DataFrame) -> DataFrame:

@@ -152,6 +152,22 @@ def test_repeats_against_all_windows(spark, passage):
     assert suffix_dedup.find_repeats(docs.limit(0)).count() == 0
 
 
+def test_repeats_of_a_passage_that_fills_many_partitions(spark):
+    rng = random.Random(12)
+    common = sentence(rng, 60)
+    own = [sentence(rng, 20) for _ in range(40)]
+    rows = [(i, sentence(rng, rng.randint(30, 60)) + " " + common + " " + sentence(rng, rng.randint(0, 40)), "en", "a") for i in range(150)]
+    rows += [(1000 + i, f"{own[i % 40]} {common}", "en", "a") for i in range(80)]  # two copies each
+    rows += [(2000 + i, f"{own[i % 40]} {' '.join(common.split()[:rng.randint(30, 60)])} {sentence(rng, 9)}", "en", "a") for i in range(80)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 16)
+        found = suffix_dedup.find_repeats(documents(spark, rows)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted((str(r.doc_id), r.n_words, r.n_repeated) for r in found) == plain_repeats(rows, 50)
+
+
 def test_sliding_minimum():
     x = np.random.default_rng(1).integers(0, 99, 70).astype(np.uint64)
     for width in (1, 2, 7, 69, 70):
