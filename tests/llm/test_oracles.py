@@ -1,7 +1,7 @@
 """Every query of the subpackage that SQL can express, on the smallest tables."""
 
 import pytest
-from oracle_llm import TABLES, difference
+from oracle_llm import TABLES, difference, in_order, sql_rows
 
 import corpus_pipeline
 from lakefold.llm.oracle import ORACLE
@@ -34,3 +34,12 @@ def test_pipeline_stages_keep_the_columns(spark):
         kept = stage(spark, docs, SF_DIR)
         assert kept.columns == docs.columns
         assert set(r[0] for r in kept.select("doc_id").collect()) <= set(r[0] for r in docs.select("doc_id").collect())
+
+
+def test_every_document_is_judged_for_repeats(spark):
+    found = QUERIES["op4_suffix_dedup"](spark, SF_DIR).collect()
+    ids = [r[0] for r in spark.read.parquet(PATHS["documents"]).select("doc_id").collect()]
+    assert sorted(r.doc_id for r in found) == sorted(ids)
+    columns, expected = sql_rows(ORACLE["op4_suffix_dedup"], PATHS)
+    assert in_order(found[0].__fields__, [tuple(r) for r in found if r.n_repeated]) == in_order(columns, expected)
+    assert all((r.n_spans, r.spans) == (0, "") for r in found if not r.n_repeated)
