@@ -94,8 +94,9 @@ found as (
   select doc_id, cast(sum(last - first) as bigint) as n_repeated, count(*) as n_spans,
     string_agg(first || ':' || last, ',' order by first) as spans from spans group by doc_id
 )
-select w.doc_id, cast(len(w) as bigint) as n_words, n_repeated, n_spans, spans
-from w join found on w.doc_id = found.doc_id
+select w.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_repeated, 0)::bigint as n_repeated,
+  coalesce(n_spans, 0)::bigint as n_spans, coalesce(spans, '') as spans
+from w left join found on w.doc_id = found.doc_id
 """
 
 _LINES = r"""
