@@ -45,5 +45,23 @@ def ascii_lower(text: Column) -> Column:
     )
 
 
+def unused(columns: list[str], name: str) -> str:
+    """``name``, with underscores before it as long as a column has that name."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def column(name: str) -> Column:
+    """A column by its plain name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def whole_row(columns: list[str]) -> Column:
+    """All of ``columns`` as one struct: so carried, no name of theirs meets a name that an operator uses inside."""
+    return F.struct(*(column(c) for c in columns))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

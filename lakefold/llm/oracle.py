@@ -174,6 +174,120 @@ select d.doc_id, cast(coalesce(len(w), 0) as bigint) as n_words, coalesce(n_hit,
 from doc_words d left join hit on d.doc_id = hit.doc_id left join found on d.doc_id = found.doc_id
 """
 
+# CRC-32 (IEEE 802.3, reflected), byte by byte.
+_CRC_TABLE = """
+crc_steps as (
+  select i, i as c, 0 as k from range(256) t(i)
+  union all select i, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, k + 1 from crc_steps where k < 8
+),
+crc_table as (select list(c order by i) as crc from crc_steps where k = 8)
+"""
+_CRC_OF = """xor(list_reduce(
+    [('0x' || x)::bigint for x in regexp_extract_all(hex(encode({text})), '..')],
+    lambda acc, x: xor(acc >> 8, crc[(xor(acc, x) & 255) + 1]), 4294967295::bigint), 4294967295)"""
+
+# The curve is walked down one bit of each coordinate at a time: reflect and turn the label, undo its Gray code, move on.
+_SHARDS = (
+    "with recursive " + _CRC_TABLE + """,
+d as (
+  select row_number() over () as r, doc_id, lang, source, cast(strlen(coalesce(text, '')) + 16 as bigint) as size,
+    """ + _CRC_OF.format(text="coalesce(text, '')") + """ as text_crc32
+  from documents, crc_table
+),
+total as (select count(*) as n, min(doc_id)::double as low, max(doc_id)::double as high from d),
+langs as (select lang, (coalesce(sum(count(*)) over (order by lang nulls last rows between unbounded preceding and 1 preceding), 0)
+  * 16 // (select n from total))::int as cell from d group by lang),
+sources as (select source, (coalesce(sum(count(*)) over (order by source nulls last rows between unbounded preceding and 1 preceding), 0)
+  * 16 // (select n from total))::int as cell from d group by source),
+cells as (
+  select r, langs.cell as c0, sources.cell as c1, greatest(0, least(15, length(bin(size)) - 5)) as c2,
+    coalesce(least(15, floor((doc_id::double - low) / (high - low + 1.0) * 16)::int), 0) as c3
+  from d, total, langs, sources
+  where d.lang is not distinct from langs.lang and d.source is not distinct from sources.source
+),
+walk as (
+  select r, c0, c1, c2, c3, 3 as level, 0 as entry, 0 as direction, 0::bigint as curve from cells
+  union all
+  select r, c0, c1, c2, c3, level - 1,
+    xor(entry, ((corner << (direction + 1) % 4) | (corner >> (4 - (direction + 1) % 4))) & 15),
+    (direction + [0, 1, 1, 2, 2, 1, 1, 3, 3, 1, 1, 2, 2, 1, 1, 0][digit + 1] + 1) % 4, curve * 16 + digit
+  from (
+    select *, xor(greatest(digit - 1, 0) // 2 * 2, greatest(digit - 1, 0) // 2) as corner from (
+      select *, xor(xor(turned, turned >> 1), xor(turned >> 2, turned >> 3)) as digit from (
+        select *, ((label >> (direction + 1) % 4) | (label << (4 - (direction + 1) % 4))) & 15 as turned from (
+          select *, xor(entry, ((c0 >> level) & 1) | (((c1 >> level) & 1) << 1) | (((c2 >> level) & 1) << 2) | (((c3 >> level) & 1) << 3)) as label
+          from walk where level >= 0))))
+),
+ranked as (
+  select d.*, curve, n, row_number() over (order by curve, doc_id nulls first, text_crc32, size, d.r) - 1 as rank
+  from d join walk on d.r = walk.r and level = -1, total
+)
+select doc_id, size, text_crc32::bigint as text_crc32, 'rows' as law, (rank * 40 // n)::int as shard,
+  (rank - ((rank * 40 // n) * n + 39) // 40)::bigint as slot, cast(null as int) as grown_shard, curve
+from ranked
+"""
+)
+
+# Every anchor with every other row.
+_HARD_NEGATIVES = """
+with v as (
+  select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    [floor(256 * x::double) for x in embedding] as e
+  from embeddings where vec_id is not null and label is not null and embedding is not null
+    and len([1 for x in embedding if x is null or not isfinite(x)]) = 0
+),
+s as (
+  select a.r as ar, a.vec_id as anchor_id, b.r as br, b.vec_id as other_id, a.label = b.label as same,
+    list_inner_product(a.e, b.e)::bigint as score
+  from v a join v b on a.r <> b.r where a.vec_id % 100 = 0
+),
+positives as (
+  select * from (select *, row_number() over (partition by ar order by score desc, other_id, br) as slot from s where same) where slot <= 5
+)
+select p.anchor_id, p.other_id as positive_id,
+  row_number() over (partition by p.ar, p.slot order by n.score desc, n.other_id, n.br)::int as rank,
+  n.other_id as negative_id, p.score as positive_score, n.score as negative_score
+from positives p join s n on n.ar = p.ar and not n.same and 30 * p.score <= 100 * n.score and 100 * n.score <= 90 * p.score
+qualify rank <= 10
+"""
+
+# Words that are equal without one letter each at the same place, or where one is the other without a letter.
+_SPELLING = (
+    "with recursive " + _CRC_TABLE + """,
+runs as (
+  select id, run, count(*) as c from (
+    select coalesce(cast(doc_id as varchar), 'null') as id, unnest(regexp_extract_all(""" + _LOWER + """, '[a-zÀ-ÿ]{7,}')) as run
+    from documents) group by all
+),
+hashed as (select run, c, """ + _CRC_OF.format(text="id || ':' || run") + """ as h from runs, crc_table),
+words as (
+  select word, cast(sum(c) as bigint) as n from (
+    select c, case when h % 31 = 0 then substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word
+    from hashed) where length(word) >= 7 group by word having sum(c) >= 2
+),
+less as (select word, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest from (select word, unnest(range(1, length(word) + 1)) as i from words)),
+near as (
+  select a.word as a, b.word as b from less a join less b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+  union select word, rest from less where rest in (select word from words)
+  union select rest, word from less where rest in (select word from words)
+),
+judged as (
+  select a as word, count(*) as n_near, min(struct_pack(m := -b.n, w := b.word)) as best, any_value(w.n) as n
+  from near join words w on w.word = near.a join words b on b.word = near.b group by a
+),
+formed as (
+  select word, n_near, case when -best.m >= 10 * n then best.w end as form, case when -best.m >= 10 * n then -best.m end as form_n from judged
+),
+chain as (
+  select word, word as root, 0 as step from words
+  union all select chain.word, formed.form, step + 1 from chain join formed on chain.root = formed.word where formed.form is not null
+),
+last as (select word, arg_max(root, step) as root from chain group by word)
+select words.word, form, root, n, coalesce(n_near, 0) as n_near, form_n
+from words join last on words.word = last.word left join formed on words.word = formed.word
+"""
+)
+
 ORACLE: dict[str, str] = {
     "op1_embedding_dedup": _VECTORS,
     "op2_ngram_join": _NEAR.format(documents="documents"),
@@ -182,6 +296,9 @@ ORACLE: dict[str, str] = {
     "op7_decontaminate": _DECONTAMINATE.format(documents="documents"),
     "op8_mix_sources": _MIX.format(documents="documents"),
     "op10_warc": _WARC,
+    "op11_hilbert_shards": _SHARDS,
+    "op12_hard_negatives": _HARD_NEGATIVES,
+    "op13_spelling_variants": _SPELLING,
 }
 
 

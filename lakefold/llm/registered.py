@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakefold.llm import (
-    decontaminate, embedding_dedup, language_id, line_dedup, lm_score, mixing, ngram_join, secrets, suffix_dedup, warc,
+    decontaminate, embedding_dedup, hard_negatives, language_id, line_dedup, lm_score, mixing, ngram_join, secrets, sharding,
+    spelling, suffix_dedup, warc,
 )
 from lakefold.llm.common import table
 
@@ -71,6 +72,20 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_ngram_join": op2_ngram_join,
@@ -82,4 +97,7 @@ QUERIES: dict[str, Query] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_secrets": op9_secrets,
     "op10_warc": op10_warc,
+    "op11_hilbert_shards": op11_hilbert_shards,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_spelling_variants": op13_spelling_variants,
 }
