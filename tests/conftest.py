@@ -1,12 +1,5 @@
-import os
-import sys
-
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
-sys.path.insert(0, os.path.join(ROOT, "tests"))
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -32,7 +25,3 @@ def root(spark):
     from lakefold.session import new_scratch
 
     return new_scratch(spark, "test")
-
-
-def physical_plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
