@@ -3,7 +3,7 @@
 ``BENCH_SF_DIR`` is the table directory, ``BENCH_CPUS`` the number of local cores.  Every query is
 written to the ``noop`` sink, so all of its rows are computed and none pass through the driver.
 Each value is the median of three runs after one warm-up.  ``jobs`` times the stream and the batch job once each, over
-a first and a second delivery; they are not part of ``value``.
+a first, a small second and a large third delivery; they are not part of ``value``.
 """
 
 from __future__ import annotations
@@ -52,7 +52,8 @@ def seconds(spark, name: str, sf_dir: str) -> float:
 
 
 def job_seconds(spark, sf_dir: str) -> dict[str, float]:
-    """The whole path over all events: ingest of a first delivery, a batch run, and a batch run after a second one."""
+    """The whole path over all events: ingest and a batch run of a first delivery, of a second one that changes one key in a
+    hundred, and of a third one with all other changes."""
     root = new_scratch(spark, "bench")
     logs = {"customers": star.customer_log, "orders": star.order_log, "order_items": star.order_item_log}
     config = IngestConfig(
@@ -61,12 +62,17 @@ def job_seconds(spark, sf_dir: str) -> dict[str, float]:
     )
     batch = BatchConfig(
         raw_root=f"{root}/raw", processed_root=f"{root}/processed", results_root=root, positions=f"{root}/positions",
-        state_root=f"{root}/state", metrics_root=f"{root}/metrics",
+        state_root=f"{root}/state", metrics_root=f"{root}/metrics", state_buckets=8,
     )
     took = {}
-    for run, ops in (("first", ("c", "r")), ("second", ("u", "d"))):
+    for run, ops in (("first", ("c", "r")), ("second", ("c", "r")), ("third", ("u", "d"))):
         for name, log in logs.items():
-            events = star.wire_events(log(spark, sf_dir).filter(F.col("__op").isin(*ops)), ENTITIES[name])
+            changes = log(spark, sf_dir).filter(F.col("__op").isin(*ops))
+            if run == "second":  # new versions of one key in a hundred
+                changes = changes.filter(F.col(ENTITIES[name].key[0]) % 100 == 0).withColumns({
+                    "__op": F.lit("u"), "__lsn": F.col("__lsn") + 10**9, "__source_ts_ms": F.col("__source_ts_ms") + 10**9,
+                })
+            events = star.wire_events(changes, ENTITIES[name])
             events.write.mode("append").parquet(f"{root}/events/{name}")
         for job, work in (("ingest", lambda: run_ingest(spark, config)), ("batch", lambda: run_batch(spark, batch))):
             started = time.perf_counter()

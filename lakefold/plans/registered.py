@@ -213,7 +213,7 @@ def _batch_config(root: str, **changes) -> BatchConfig:
         positions=f"{root}/positions",
         state_root=f"{root}/state",
         metrics_root=f"{root}/metrics",
-        **changes,
+        state_buckets=4, **changes,
     )
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -55,3 +57,12 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder that a job has made for itself."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def at_once(work: Sequence[Callable], threads: int) -> list:
+    """The results of calls that do not depend on each other, ``threads`` at a time; the first failure is raised.
+
+    Small Spark jobs leave most of a cluster idle, so several are submitted together.
+    """
+    with ThreadPoolExecutor(max(1, threads)) as pool:
+        return [done.result() for done in [pool.submit(call) for call in work]]

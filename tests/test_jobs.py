@@ -20,6 +20,7 @@ from lakefold.plans.processing import (
     process_changes,
 )
 from lakefold.session import scratch_root
+from lakefold.sinks.tables import published, read_result
 from lakefold.sources.events import MESSAGE_SCHEMA, FileEvents
 from lakefold.sources.lake import path_exists, read_position, read_processed
 from lakefold.streaming.ingest import IngestConfig
@@ -184,11 +185,13 @@ def test_batch_job_writes_every_table(spark, root):
     assert REPORTS | {"change_log_profile", "audit_order_totals"} <= set(results)
     # 6.30 at ten percent off, fourteen lines on live orders
     assert sum(r.total_sales for r in results["daily_sales"].collect()) == pytest.approx(14 * 5.67)
+    folders = {name: f"{root}/analytics/{folder}" for name, (folder, _) in published(spark, root).items()}
     for name, table in results.items():
-        assert glob.glob(f"{root.removeprefix('file:')}/analytics/csv/{name}/*.csv") or not table.count()
-    csv = spark.read.option("header", True).csv(f"{root}/analytics/csv/daily_sales")
+        assert glob.glob(f"{folders[name].removeprefix('file:')}/csv/{name}/*.csv") or not table.count()
+        assert read_result(spark, root, name).count() == table.count()
+    csv = spark.read.option("header", True).csv(f"{folders['daily_sales']}/csv/daily_sales")
     assert csv.count() == 7
-    assert len(glob.glob(f"{root.removeprefix('file:')}/analytics/csv/daily_sales/*.csv")) == 1
+    assert len(glob.glob(f"{folders['daily_sales'].removeprefix('file:')}/csv/daily_sales/*.csv")) == 1
     orphans = {r.relation: (r.orphan_keys, r.orphan_rows) for r in results["audit_foreign_keys"].collect()}
     assert orphans["order_items.order_id -> orders.order_id"] == (1, 2)
     repeated = {(r.entity, r["columns"]): r.repeated_values for r in results["audit_uniqueness"].collect()}
