@@ -1,4 +1,4 @@
-"""Command line for ``spark-submit``: ``ingest`` streams changes in, ``batch`` writes reports."""
+"""Command line for ``spark-submit``: ``ingest`` streams changes in, ``batch`` writes reports, ``pack`` tidies the raw area."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ import argparse
 from lakefold.entities import ENTITIES
 from lakefold.functions.scoring import REACHABLE_LADDER, RfmRules
 from lakefold.plans.jobs import BatchConfig, run_batch, run_ingest
+from lakefold.plans.packing import pack_batches
 from lakefold.plans.processing import BY_ARRIVAL, BY_SOURCE_TIME, FULL
 from lakefold.session import build_session
 from lakefold.sources.events import FileEvents, KafkaEvents
@@ -40,7 +41,10 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     batch.add_argument("--fold-key", action="append", default=[], metavar="ENTITY=COLUMN,COLUMN")
     batch.add_argument("--ladder", choices=("default", "reachable"), default="default")
     batch.add_argument("--no-state", action="store_true", help="fold the whole log instead of a kept state")
-    for job in (ingest, batch):
+    batch.add_argument("--state-buckets", type=int, default=16, help="about the bytes of the largest table by 128 MB; kept for good")
+    pack = jobs.add_parser("pack", help="pack finished micro-batches of the raw area into large files")
+    pack.add_argument("--lake", required=True)
+    for job in (ingest, batch, pack):
         job.add_argument(
             "--partitions", type=int,
             help="shuffle partitions, about the shuffled bytes by 128 MB; a stream keeps those of its first start",
@@ -88,6 +92,7 @@ def batch_config(options: argparse.Namespace) -> BatchConfig:
         exclude_status=options.exclude_status,
         audit=not options.no_audit,
         keep_state=not options.no_state,
+        state_buckets=options.state_buckets,
         keys={name: tuple(columns.split(",")) for name, columns in _named_values(options.fold_key).items()},
         rfm_rules=RfmRules(ladder=REACHABLE_LADDER) if options.ladder == "reachable" else RfmRules(),
     )
@@ -99,6 +104,9 @@ def main(arguments: list[str] | None = None) -> None:
     spark = build_session(f"lakefold {options.job}", partitions)
     if options.job == "ingest":
         run_ingest(spark, ingest_config(options))
+    elif options.job == "pack":
+        for entity in ENTITIES.values():
+            pack_batches(spark, f"{options.lake}/raw", f"{options.lake}/metrics", entity)
     else:
         run_batch(spark, batch_config(options))
 
