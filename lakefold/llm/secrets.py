@@ -129,17 +129,15 @@ class _Nfa:
 
 @dataclass(frozen=True)
 class Automaton:
-    """``table[state, symbol]`` is the next state; ``accepts[state]`` has bit k if rule k ends here.
-
-    From ``dead``, if there is such a state, nothing can match any more.
-    """
+    """``table[state, symbol]`` is the next state; ``accepts[state]`` has bit k if rule k ends here, ``alive[state]`` if it
+    ends here or behind any further symbols."""
 
     symbol: np.ndarray
     n_symbols: int
     table: np.ndarray
     accepts: np.ndarray
     start: int
-    dead: int
+    alive: np.ndarray
 
 
 def _determined(nfa: _Nfa, starts: set[int], ends: list[int], everywhere: bool) -> Automaton:
@@ -178,10 +176,11 @@ def _determined(nfa: _Nfa, starts: set[int], ends: list[int], everywhere: bool)
     rank = np.empty(len(one), np.int64)
     rank[np.argsort(accepts[one] == 0, kind="stable")] = np.arange(len(one))
     by_rank = one[np.argsort(rank)]
-    dead = -1 if everywhere else int(rank[block[0]])  # state 0 was the empty set
-    return Automaton(
-        symbol, len(kinds) + 1, rank[block[table[by_rank]]], accepts[by_rank], int(rank[block[number[begin]]]), dead
-    )
+    table, accepts = rank[block[table[by_rank]]], accepts[by_rank]
+    alive, before = accepts, None
+    while before is None or (alive != before).any():
+        alive, before = alive | np.bitwise_or.reduce(alive[table], axis=1), alive
+    return Automaton(symbol, len(kinds) + 1, table, accepts, int(rank[block[number[begin]]]), alive)
 
 
 @dataclass(frozen=True)
@@ -210,16 +209,15 @@ def compiled(rules: tuple[Rule, ...] = RULES) -> Scanner:
     )
 
 
-def _longest(forward: Automaton, text: np.ndarray, start: int, rule: int) -> int:
-    """The end of the longest match of the rule from ``start``, or ``start``."""
-    state, end, at = forward.start, start, start
-    while at < len(text):
-        state = forward.table[state, forward.symbol[text[at]]]
-        if state == forward.dead:
+def _longest(table: list, accepts: list[bool], alive: list[bool], state: int, symbols: bytes, start: int) -> int:
+    """The end of the longest match of a rule from ``start``, or ``start``; stops where this rule cannot match any more."""
+    end = start
+    for at in range(start, len(symbols)):
+        state = table[state][symbols[at]]
+        if accepts[state]:
+            end = at + 1
+        elif not alive[state]:
             break
-        at += 1
-        if forward.accepts[state] >> rule & 1:
-            end = at
     return end
 
 
@@ -232,14 +230,18 @@ def scan_bytes(text: np.ndarray, scanner: Scanner) -> list[tuple[int, int, int]]
     symbols = backward.symbol[text[::-1]]
     hits = np.flatnonzero(marked(symbols, flat, backward.start * n, limit)[::-1])
     found = []
+    if not len(hits):
+        return found
     # Which rules match at a marked place is told by a run forwards from it.
+    table, forward_symbols = forward.table.tolist(), forward.symbol[text].tobytes()
     for number, rule in enumerate(scanner.rules):
         pattern = re.compile(rule.pattern)
+        accepts, alive = ((bits >> number & 1).astype(bool).tolist() for bits in (forward.accepts, forward.alive))
         starts = hits[scanner.first_bytes[number][text[hits]]]
         place = 0
         while place < len(starts):
             start = int(starts[place])
-            end = _longest(forward, text, start, number)
+            end = _longest(table, accepts, alive, forward.start, forward_symbols, start)
             if end > start:
                 match = pattern.fullmatch(text[start:end].tobytes())
                 if len(match.group(rule.group)) >= rule.least:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -248,3 +249,21 @@ def test_empty_tables(spark, run):
 
 def test_words_of_the_sizes():
     assert words(" A\tb c ") == ["a", "b c"]
+
+
+@pytest.mark.parametrize("text", [
+    "0123456789abcdef" * 65_536, "ae" * 500_000, "token=" * 170_000, "eyJ" * 340_000, "eyJabcdefgh." * 85_000,
+    "secret:" + "A" * 1_000_000, "AKIA" * 250_000, "-----BEGIN " * 90_000,
+])
+def test_secrets_of_a_megabyte_take_linear_time(text):
+    """Runs in which every place starts a rule: seconds, where following each to the end took hours."""
+    scanner = secrets.compiled()
+    started = time.process_time()
+    found = secrets.scan_bytes(np.frombuffer(text.encode() + b"\xff", np.uint8), scanner)
+    assert time.process_time() - started < 20
+    expected = []
+    for number, rule in enumerate(scanner.rules):
+        for match in re.finditer(rule.pattern, text.encode()) if number < 3 else ():
+            if len(match.group(rule.group)) >= rule.least:
+                expected.append((number, *match.span()))
+    assert [f for f in found if f[0] < 3] == expected
