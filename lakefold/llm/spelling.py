@@ -72,9 +72,21 @@ def deal_letters(counts: list[tuple[str, int]], parts: int) -> list[str]:
     return dealt
 
 
-def _part_hashes(letters: Column, dealt: list[str]) -> list[Column]:
-    """A hash of the letters that a word has in each part; ``letters`` are sorted."""
-    return [F.xxhash64(F.array_join(F.filter(letters, lambda x, own=own: F.lit(own).contains(x)), "")) for own in dealt]
+def letter_table(vocab: DataFrame, dealt: dict[str, list[str]]) -> DataFrame:
+    """``word, n`` with ``bits`` of its multiset and, for each way to deal the letters, a hash of what each part has."""
+    split = F.array_sort(F.split("word", ""))
+    # A bit for each element of the multiset; where several share a bit, differences can only vanish.
+    element = F.transform(split, lambda x, i: F.concat(x, (i - F.array_position(split, x) + 1).cast("string")))
+    one = F.lit(1).cast("long")
+    bits = F.aggregate(
+        element, F.lit(0).cast("long"),
+        lambda acc, x: acc.bitwiseXOR(F.call_function("shiftleft", one, F.pmod(F.xxhash64(x), F.lit(64)).cast("int"))))
+    hashes = {
+        f"{kind}{i}": F.xxhash64(F.translate("letters", "".join(x for x in parts if x != own), ""))
+        for kind, parts in dealt.items() for i, own in enumerate(parts)
+    }
+    words = vocab.where(F.length("word") > 0).select("word", "n", F.array_join(split, "").alias("letters"), bits.alias("bits"))
+    return written(words.withColumns(hashes).drop("letters"), "letters")
 
 
 def _halves(word: Column, shorter: Column) -> list[Column]:
@@ -84,37 +96,26 @@ def _halves(word: Column, shorter: Column) -> list[Column]:
     return [F.substring(word, F.lit(1), first), F.substring(word, F.length(word) - last + 1, last)]
 
 
-def _signatures(words: DataFrame, kind: str, dealt: list[str], k: int, shorter: Column) -> DataFrame:
+def _signatures(words: DataFrame, kind: str, parts: int, k: int, shorter: Column) -> DataFrame:
     """``signature, word, n, bits`` of each word: one row per choice of parts and half."""
-    parts = [F.col(f"part{i}") for i in range(len(dealt))]
-    hashed = words.withColumns({f"part{i}": h for i, h in enumerate(_part_hashes(F.col("letters"), dealt))})
     first, last = _halves(F.col("word"), shorter)
-    keyed = hashed.withColumns({"first": first, "last": last, "shorter": shorter})
+    keyed = words.withColumns({"first": F.xxhash64(first), "last": F.xxhash64(last), "shorter": shorter})
     signatures = [
-        F.xxhash64(F.lit(f"{kind}:{number}:{half}"), F.col("shorter"), F.col(half), *(parts[i] for i in chosen))
-        for number, chosen in enumerate(signature_parts(len(dealt), k)) for half in ("first", "last")
+        F.xxhash64(F.lit(f"{kind}:{number}:{half}"), F.col("shorter"), F.col(half), *(F.col(f"{kind}{i}") for i in chosen))
+        for number, chosen in enumerate(signature_parts(parts, k)) for half in ("first", "last")
     ]
     return keyed.select(F.explode(F.array(*signatures)).alias("signature"), "word", "n", "bits")
 
 
 def near_pairs(vocab: DataFrame, replace_parts: int = REPLACE_PARTS, insert_parts: int = INSERT_PARTS) -> DataFrame:
     """``a, n_a, b, n_b`` of the pairs of ``vocab`` (``word, n``) that differ by exactly one letter, each once."""
-    letters = F.array_sort(F.split("word", ""))
-    # A bit for each element of the multiset; where many share a bit, differences can only vanish.
-    element = F.transform(letters, lambda x, i: F.concat(
-        x, (i - F.array_position(letters, x) + 1).cast("string")))
-    bits = F.aggregate(
-        element, F.lit(0).cast("long"),
-        lambda acc, x: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(x), F.lit(64)).cast("int"))))
-    words = vocab.where(F.length("word") > 0).withColumns({"letters": letters, "bits": bits})
     # As many rows as the alphabet has letters.
     counts = [tuple(r) for r in vocab.select(F.explode(F.split("word", "")).alias("x")).groupBy("x").count().collect()]
+    words = letter_table(vocab, {"replace": deal_letters(counts, replace_parts), "insert": deal_letters(counts, insert_parts)})
     length = F.length("word")
-
-    same = _signatures(words, "replace", deal_letters(counts, replace_parts), 2, length)
-    dealt = deal_letters(counts, insert_parts)
-    short = _signatures(words, "insert", dealt, 1, length)
-    long = _signatures(words, "insert", dealt, 1, length - 1)
+    same = _signatures(words, "replace", replace_parts, 2, length)
+    short = _signatures(words, "insert", insert_parts, 1, length)
+    long = _signatures(words, "insert", insert_parts, 1, length - 1)
 
     def met(left: DataFrame, right: DataFrame, differences: int, order: Column) -> DataFrame:
         close = F.bit_count(F.col("l.bits").bitwiseXOR(F.col("r.bits"))) <= differences
