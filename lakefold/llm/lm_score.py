@@ -36,7 +36,8 @@ MEMBERS = 46
 SPARE = 64
 ROUNDS = 2
 STRIDE = ROUNDS  # every token is a target in one of the rounds
-BATCH = 2048
+BATCH = 8192
+SCORED = 1 << 13  # tokens scored at once
 RATE = 0.15
 SEED = 7
 SLICE = 1 << 20
@@ -95,59 +96,94 @@ class Network:
 
     def hidden_layer(self, around: np.ndarray) -> np.ndarray:
         """``around``: tokens at each offset (rows) of each example (columns)."""
-        total = self.weights["bias"] + self.weights["embed"][0][around[0]]
+        total = self.weights["embed"][0].take(around[0], axis=0)
+        total += self.weights["bias"]
         for i in range(1, len(around)):
-            total += self.weights["embed"][i][around[i]]
+            total += self.weights["embed"][i].take(around[i], axis=0)
         return np.tanh(total, out=total)
 
     def log_probabilities(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Log-probability of each target given what stands around it."""
-        w, h = self.weights, self.hidden_layer(around)
-        of, member = np.divmod(target, self.shape.members)
-        result = _log_softmax(h @ w["classes"] + w["class_bias"])[np.arange(len(target)), of]
-        for c, rows in _by_class(of):
-            found = _log_softmax(h[rows] @ w["members"][c] + w["member_bias"][c])
-            result[rows] += found[np.arange(len(rows)), member[rows]]
+        w, n = self.weights, len(target)
+        order = _in_order(target, self.shape.tokens)
+        target = target[order]
+        h, (of, member) = self.hidden_layer(around[:, order]), np.divmod(target, self.shape.members)
+        found = _log_softmax_of(_layer(w["classes"], w["class_bias"], h), of)
+        for c, a, b in _class_runs(of, self.shape.classes):
+            found[a:b] += _log_softmax_of(_layer(w["members"][c], w["member_bias"][c], h[a:b]), member[a:b])
+        result = np.empty(n, found.dtype)
+        result[order] = found
         return result
 
     def learn(self, around: np.ndarray, target: np.ndarray, squares: dict[str, np.ndarray], rate: float = RATE) -> None:
-        """One step of gradient descent on the mean negative log-probability; step sizes shrink by past squares."""
-        w, n, h = self.weights, len(target), self.hidden_layer(around)
-        of, member = np.divmod(target, self.shape.members)
-        error = np.exp(_log_softmax(h @ w["classes"] + w["class_bias"]))
-        error[np.arange(n), of] -= 1
-        steps = {"classes": h.T @ error, "class_bias": error.sum(axis=0)}
-        back = error @ w["classes"].T
+        """One step of gradient descent on the mean negative log-probability; step sizes shrink by past squares.
+
+        Examples are put in order of their targets, so that those of a class are one slice of every array.
+        """
+        w, n = self.weights, len(target)
+        order = _in_order(target, self.shape.tokens)
+        around, target = around[:, order], target[order]
+        h, (of, member) = self.hidden_layer(around), np.divmod(target, self.shape.members)
+        error = _softmax_error(_layer(w["classes"], w["class_bias"], h), of)
+        back = error.T @ w["classes"].T
+        steps = {"classes": (error @ h).T, "class_bias": error.sum(axis=1)}
         steps["members"], steps["member_bias"] = np.zeros_like(w["members"]), np.zeros_like(w["member_bias"])
-        for c, rows in _by_class(of):
-            error = np.exp(_log_softmax(h[rows] @ w["members"][c] + w["member_bias"][c]))
-            error[np.arange(len(rows)), member[rows]] -= 1
-            steps["members"][c], steps["member_bias"][c] = h[rows].T @ error, error.sum(axis=0)
-            back[rows] += error @ w["members"][c].T
-        back *= 1 - h * h
+        for c, a, b in _class_runs(of, self.shape.classes):
+            error = _softmax_error(_layer(w["members"][c], w["member_bias"][c], h[a:b]), member[a:b])
+            back[a:b] += error.T @ w["members"][c].T
+            steps["members"][c], steps["member_bias"][c] = (error @ h[a:b]).T, error.sum(axis=1)
+        h *= h
+        back *= np.subtract(1, h, out=h)
         steps["bias"] = back.sum(axis=0)
         for name, step in steps.items():
-            step /= n
+            step *= np.float32(1 / n)
             squares[name] += step * step
-            w[name] -= rate * step / np.sqrt(squares[name] + 1e-8)
+            step *= rate
+            w[name] -= np.divide(step, np.sqrt(squares[name] + 1e-8), out=step)
         for i, tokens in enumerate(around):
-            order = np.argsort(tokens, kind="stable")
-            token, begin = np.unique(tokens[order], return_index=True)
-            step = np.add.reduceat(back[order], begin, axis=0) / n
-            squares["embed"][i][token] += step * step
-            w["embed"][i][token] -= rate * step / np.sqrt(squares["embed"][i][token] + 1e-8)
+            order = _in_order(tokens, self.shape.tokens + 1)
+            tokens = tokens[order]
+            begin = np.concatenate([[0], np.flatnonzero(tokens[1:] != tokens[:-1]) + 1])
+            token = tokens[begin]
+            step = np.add.reduceat(back.take(order, axis=0), begin, axis=0) * np.float32(1 / n)
+            past = squares["embed"][i][token] + step * step
+            squares["embed"][i][token] = past
+            w["embed"][i][token] -= rate * step / np.sqrt(past + 1e-8)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _layer(weights: np.ndarray, bias: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Outputs (rows) of each example (columns): sums over outputs then run along whole rows."""
+    x = weights.T @ h.T
+    x += bias[:, None]
+    x -= x.max(axis=0)
+    return x
 
 
-def _by_class(of: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(of, kind="stable")
-    for rows in np.split(order, np.flatnonzero(np.diff(of[order])) + 1):
-        if len(rows):
-            yield int(of[rows[0]]), rows
+def _log_softmax_of(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The log-probability of the chosen output of each example; ``x`` is overwritten."""
+    found = x[chosen, np.arange(x.shape[1])]
+    return found - np.log(np.exp(x, out=x).sum(axis=0))
+
+
+def _softmax_error(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Probabilities less 1 for the chosen output of each example, in place of ``x``."""
+    np.exp(x, out=x)
+    x /= x.sum(axis=0)
+    x[chosen, np.arange(x.shape[1])] -= 1
+    return x
+
+
+def _in_order(tokens: np.ndarray, most: int) -> np.ndarray:
+    """The order of tokens below ``most``; numpy sorts short numbers by their digits."""
+    return np.argsort(tokens.astype(np.uint16) if most <= 1 << 16 else tokens, kind="stable")
+
+
+def _class_runs(of: np.ndarray, classes: int) -> Iterator[tuple[int, int, int]]:
+    """Class, begin and end of each run of the sorted classes ``of``."""
+    at = np.searchsorted(of, np.arange(classes + 1)).tolist()
+    for c in range(classes):
+        if at[c] < at[c + 1]:
+            yield c, at[c], at[c + 1]
 
 
 def tokens_of(text: np.ndarray, starts: np.ndarray, vocabulary: np.ndarray, token: np.ndarray, shape: Shape):
@@ -160,14 +196,19 @@ def tokens_of(text: np.ndarray, starts: np.ndarray, vocabulary: np.ndarray, toke
     return spare, np.searchsorted(starts, first, side="right") - 1
 
 
-def windows(tokens: np.ndarray, doc: np.ndarray, at: np.ndarray, shape: Shape) -> np.ndarray:
-    """The tokens around each place, in order of offset; outside the document the token after the last."""
-    around = np.empty((2 * shape.side, len(at)), np.int64)
+def spaced(tokens: np.ndarray, doc: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens with ``side`` tokens for the outside around each document, and the places of the former among them."""
+    place = np.arange(len(tokens)) + shape.side * (doc + 1)
+    padded = np.full(int(place[-1]) + shape.side + 1 if len(place) else 0, shape.tokens, np.int64)
+    padded[place] = tokens
+    return padded, place
+
+
+def windows(padded: np.ndarray, place: np.ndarray, shape: Shape) -> np.ndarray:
+    """The tokens around each place of ``padded``, in order of offset; outside the document the token after the last."""
+    around = np.empty((2 * shape.side, len(place)), np.int64)
     for i, offset in enumerate([*range(-shape.side, 0), *range(1, shape.side + 1)]):
-        place = at + offset
-        inside = np.clip(place, 0, len(tokens) - 1)
-        same = (place == inside) & (doc[inside] == doc[at])
-        around[i] = np.where(same, tokens[inside], shape.tokens)
+        padded.take(place + offset, out=around[i])
     return around
 
 
@@ -211,9 +252,10 @@ def _trained(docs: DataFrame, network: Network, words, number: int, stride: int)
             for _, _, text, starts in text_slices(batch.column("text"), SLICE):
                 tokens, doc = tokens_of(text, starts, known, token, shape)
                 at = targets(doc, starts, number, stride)
+                padded, place = spaced(tokens, doc, shape)
                 for i in range(0, len(at), BATCH):
                     part = at[i : i + BATCH]
-                    mine.learn(windows(tokens, doc, part, shape), tokens[part], squares)
+                    mine.learn(windows(padded, place[part], shape), tokens[part], squares)
                     seen += len(part)
         if seen:
             yield pa.RecordBatch.from_arrays(
@@ -272,10 +314,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             for first, last, text, starts in text_slices(batch.column("text"), SLICE):
                 tokens, doc = tokens_of(text, starts, known, token, shape)
-                found = np.zeros(len(tokens))
-                for i in range(0, len(tokens), 16 * BATCH):
-                    at = np.arange(i, min(i + 16 * BATCH, len(tokens)))
-                    found[at] = network.log_probabilities(windows(tokens, doc, at, shape), tokens[at])
+                found, (padded, place) = np.zeros(len(tokens)), spaced(tokens, doc, shape)
+                for i in range(0, len(tokens), SCORED):
+                    at = slice(i, i + SCORED)
+                    found[at] = network.log_probabilities(windows(padded, place[at], shape), tokens[at])
                 n = np.bincount(doc, minlength=last - first)
                 total = np.bincount(doc, found, minlength=last - first)
                 mean = [t / k if k else None for t, k in zip(total.tolist(), n.tolist())]
