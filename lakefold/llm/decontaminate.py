@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from lakefold.llm.common import BROADCAST_ROWS, ascii_lower, broadcast_if_small, written
+from lakefold.llm.common import BROADCAST_ROWS, ascii_lower, broadcast_if_small, unused, written
 
 # Of text with A-Z lower-cased, these runs are those of [^\x00-\x2F\x3A-\x60\x7B-\x7F]; named classes match faster.
 WORD = r"[\p{Alnum}\P{ASCII}]+"
@@ -209,8 +209,9 @@ def judge(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents in which no window of the benchmark occurs, with all their columns."""
     found = written(phrase_matches(build_index(docs.select("doc_id", "text"), benchmark, window)), "phrases")
-    bad = found.select(F.col("doc_id").alias("_doc"), F.col("text").alias("_text")).distinct()
+    doc, text = unused(docs.columns, "_doc"), unused(docs.columns, "_text")
+    bad = found.select(F.col("doc_id").alias(doc), F.col("text").alias(text)).distinct()
     return docs.join(
         broadcast_if_small(bad),
-        docs["doc_id"].eqNullSafe(F.col("_doc")) & (F.xxhash64(docs["text"]) == F.col("_text")), "left_anti",
+        docs["doc_id"].eqNullSafe(F.col(doc)) & (F.xxhash64(docs["text"]) == F.col(text)), "left_anti",
     )

@@ -24,6 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakefold.llm.common import column
 from lakefold.llm.scan import SEPARATOR, marked, text_slices
 
 UNDETERMINED = "und"
@@ -154,11 +155,11 @@ def bits(model: Model, text: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def predict(docs: DataFrame, model: Model, keep_text: bool = True) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``: how much better the winner is than the next language, 0 to 1.
+    """``docs`` with ``lang_pred`` and ``score`` (in place of columns of these names): how much better the winner is than the next language, 0 to 1.
 
     Without ``keep_text`` the texts are read but not handed back.
     """
-    columns = [c for c in docs.columns if c not in ("lang_pred", "score", "_bits")]
+    columns = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
     returned = [c for c in columns if keep_text or c != "text"]
     # Plain arrays: a broadcast value is unpickled by executors that need not have this package.
     plain_model = (model.symbol, [(p.language, p.table, p.limit, p.bits_per_phrase) for p in model.parsers])
@@ -195,5 +196,8 @@ def predict(docs: DataFrame, model: Model, keep_text: bool = True) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents whose language is one that was learned, with their own columns."""
-    return predict(docs, model).where(F.col("lang_pred") != UNDETERMINED).select(*docs.columns)
+    """The documents whose language is one that was learned, with their own columns, whatever the names of these."""
+    numbered = {c: c if c == "text" else f"column_{i}" for i, c in enumerate(docs.columns)}
+    plain = docs.select(*(column(c).alias(n) for c, n in numbered.items()))
+    known = predict(plain, model).where(F.col("lang_pred") != UNDETERMINED)
+    return known.select(*(F.col(n).alias(c) for c, n in numbered.items()))

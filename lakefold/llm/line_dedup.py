@@ -8,7 +8,8 @@ hold a key is the smallest.
 
 Defined results: null or empty text is one empty line; null doc_ids count as one document after all others; repeated
 rows of one document lose the same lines, and never each other's; an empty table gives an empty result; other columns pass
-through, but ``n_lines`` and ``n_dropped`` are replaced if they exist.
+through, whatever their names, but ``n_lines`` and ``n_dropped`` are replaced if they exist.  Runs are entered in the session's catalog
+only as long as they are in use; their files stay in the shared folder.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakefold.llm.common import ascii_lower, new_folder
+from lakefold.llm.common import ascii_lower, new_folder, whole_row
 
 SPACE = "\t\n\x0b\x0c\r "
 LEAST_LENGTH = 10
@@ -82,14 +83,22 @@ class LineRuns:
             for other in full[1:]:
                 merged = merged.unionByName(self.spark.table(other))
             self._place(merged, level + 1)
+            self._forget(full)
 
+    def _forget(self, names: list[str]) -> None:
+        # The tables have paths of their own, so only their entries go.
+        for name in names:
+            self.spark.sql(f"drop table if exists {name}")
 
-def _identified(docs: DataFrame) -> DataFrame:
+    def close(self) -> None:
+        """Take all runs out of the catalog; ``keys`` reads their files and still works."""
+        self._forget([name for level in self.levels for name in level])
+
+
+def _identified(docs: DataFrame, *more: Column) -> DataFrame:
     # Rows of one doc_id with different texts are kept apart by a hash of the text.
-    return docs.withColumns({
-        "_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)),
-        "_text": F.xxhash64("text"),
-    })
+    return docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("_doc"), F.xxhash64("text").alias("_text"), *more)
 
 
 def line_flags(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT,
@@ -104,10 +113,10 @@ def line_flags(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT,
         batch = batch + (F.col("doc") > bound).cast("int")
     # The outer form of explode: the plain one adds a filter that would split each text twice.
     lines = (
-        _identified(docs.select("doc_id", "text"))
-        .select(F.col("_doc").alias("doc"), F.col("_text").alias("text"),
+        _identified(docs, F.col("text"))
+        .select(F.col("_doc").alias("doc"), F.col("_text").alias("text_hash"),
                 F.posexplode_outer(split_lines(F.col("text"))).alias("place", "line"))
-        .select("doc", "text", "place", line_key(F.col("line"), least_length).alias("key"))
+        .select("doc", F.col("text_hash").alias("text"), "place", line_key(F.col("line"), least_length).alias("key"))
     )
     path = new_folder(spark, "lines")
     lines.withColumn("batch", batch).write.partitionBy("batch").parquet(path)
@@ -115,6 +124,7 @@ def line_flags(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT,
     runs = LineRuns(spark, fanout)
     for number in range(len(set(bounds)) + 1):
         runs.admit(lines.where((F.col("batch") == number) & F.col("key").isNotNull()))
+    runs.close()
     judged = lines.where("key is not null").join(runs.keys(), "key").select(
         "doc", "text", "place", (F.col("first_doc") < F.col("doc")).alias("drop")
     )
@@ -131,17 +141,16 @@ def dedup_lines(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT,
     """``docs`` with ``text`` without its dropped lines, and ``n_lines`` and ``n_dropped``."""
     flags = line_flags(docs, batches, fanout, least_length)
     kept = F.array_join(
-        F.zip_with(split_lines(F.col("text")), F.col("_flags"),
+        F.zip_with(split_lines(F.col("_row.text")), F.col("flags"),
                    lambda line, drop: F.when(~drop, line)), "\n"
     )
-    columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    columns = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
     return (
-        _identified(docs.select(*columns))
-        .join(flags.withColumnRenamed("flags", "_flags"), ["_doc", "_text"])
-        .withColumns({
-            "text": kept,
-            "n_lines": F.size("_flags").cast("long"),
-            "n_dropped": F.size(F.filter("_flags", lambda drop: drop)).cast("long"),
-        })
-        .select(*columns, "n_lines", "n_dropped")
+        _identified(docs, whole_row(columns).alias("_row"))
+        .join(flags, ["_doc", "_text"])
+        .select(
+            *(kept.alias(c) if c == "text" else F.col("_row").getField(c).alias(c) for c in columns),
+            F.size("flags").cast("long").alias("n_lines"),
+            F.size(F.filter("flags", lambda drop: drop)).cast("long").alias("n_dropped"),
+        )
     )

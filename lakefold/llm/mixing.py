@@ -7,7 +7,7 @@ from the hash of its id is below the fraction of the rate.
 Defined results: a null text has no words; null is a source of its own, after all others; a null doc_id
 draws like the text "null"; repeated rows draw alike; an empty table gives an empty mix; sources
 without words get target 0 and rate 0.  Only the named columns are read; other columns of the documents pass
-through ``mix`` untouched unless they have the name of a column that it adds (``copy``).
+through ``mix`` untouched, whatever their names; only one named ``copy`` is replaced by the column that it adds.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakefold.llm.common import broadcast_if_small, written
+from lakefold.llm.common import broadcast_if_small, whole_row, written
 
 # Weights of the sources in code-point order, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -98,9 +98,11 @@ def mix(docs: DataFrame, weights=WEIGHTS, most_repeats=MOST_REPEATS) -> DataFram
     """The mixed documents themselves, each as often as it is taken, numbered by ``copy`` from 1."""
     sizes = docs.select("source", word_count(F.col("text")).alias("size"))
     targets = written(source_targets(sizes, weights, most_repeats), "mixing-targets")
-    taken = repeats(docs, broadcast_if_small(targets)).drop("source_size", "target")
+    columns = [c for c in docs.columns if c.lower() != "copy"]
+    rows = docs.select("doc_id", "source", whole_row(columns).alias("row"))
     return (
-        taken.where("copies > 0")
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-        .drop("copies")
+        repeats(rows, broadcast_if_small(targets))
+        .where("copies > 0")
+        .select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+        .select(*(F.col("row").getField(c).alias(c) for c in columns), "copy")
     )

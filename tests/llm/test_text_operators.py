@@ -36,14 +36,45 @@ def plain_lines(rows):
     return sorted(out)
 
 
+# All names that the stages use inside, and some that need quotes.
+INSIDE = ["_doc", "_text", "_flags", "flags", "_row", "row", "place", "drop", "key", "batch", "_source", "target", "source_size", "copies",
+          "size", "rate", "_bits", "lang_pred", "score", "column_0", "n_hit", "items", "item", "part", "bucket", "component", "a.b", "c`d"]
+
+
+@pytest.mark.parametrize("stage", ["lines", "benchmark", "mix", "language", "copies"])
+def test_stages_keep_columns_with_names_used_inside(spark, stage):
+    from lakefold.llm import ngram_join
+
+    rows = awkward_rows()
+    plain = documents(spark, rows)
+    extra = plain.select("*", *(F.concat_ws(" ", F.lit(i), "doc_id", "source").alias(c) for i, c in enumerate(INSIDE)))
+    items = spark.createDataFrame([("i", " ".join(words(rows[8][1])[3:20]))], "item_id string, text string")
+    run = {"lines": line_dedup.dedup_lines, "benchmark": lambda d: decontaminate.clean(d, items), "mix": mixing.mix,
+           "language": lambda d: language_id.keep_known(d, language_id.fit(plain)), "copies": ngram_join.first_of_each}[stage]
+    got, before = run(extra), run(plain)
+    assert got.columns == extra.columns + [c for c in before.columns if c not in plain.columns]
+    assert sorted(map(str, got.select(*before.columns).collect())) == sorted(map(str, before.collect()))
+    for row in got.collect():
+        for i, c in enumerate(INSIDE):
+            assert row[c] == " ".join(str(x) for x in (i, row.doc_id, row.source) if x is not None)
+    empty = run(extra.limit(0))
+    assert empty.columns == got.columns and empty.count() == 0
+
+
 @pytest.mark.parametrize("batches, fanout", [(1, 2), (3, 2), (6, 2)])
 def test_lines_with_awkward_rows_and_compaction(spark, batches, fanout):
     rows = awkward_rows() + [(20 + i, "common line of all\nown line number %d\nCommon line of all " % i, "en", "a") for i in range(9)]
     docs = documents(spark, rows, clash=True)
+    before = line_tables(spark)
     got = line_dedup.dedup_lines(docs, batches, fanout)
     assert set(got.columns) == set(docs.columns) | {"n_dropped"}
     found = [(2**63 - 1 if r.doc_id is None else r.doc_id, r.text, r.n_lines, r.n_dropped) for r in got.collect()]
     assert sorted(found) == plain_lines(rows)
+    assert line_tables(spark) == before
+
+
+def line_tables(spark):
+    return [t.name for t in spark.catalog.listTables() if t.name.startswith("line_run_")]
 
 
 def test_line_runs_are_merged_by_levels(spark):
