@@ -7,7 +7,8 @@ split by a hash of where they stand, so a passage in very many documents fills n
 words that follow and by those that precede, and matches are extended to the right and to the left.  Extensions reach ``PASSAGE`` words each way and kept suffixes are closer together, so
 the union of what they cover is the whole passage.
 
-Suffixes whose first words lie in more than one range partition are sorted again by what precedes.  The nearest ones of both orders bound
+Suffixes whose first words lie in more than one range partition are reduced to classes of equal ones, which are sorted again by what
+precedes; members get the ranges of their class.  A class of several documents is settled by itself.  The nearest ones of both orders bound
 how far a suffix can agree with any other; where no match has met the bound, or a partition ended before a neighbour of another document, all
 runs of ``PASSAGE`` words around the suffix that could still add something are looked up, by hash, among those of all suffixes with these first words.
 
@@ -249,7 +250,9 @@ def _compare_back(passage: int, k: int):
             return
         doc, _, _, right, left = columns
         table = pa.Table.from_batches(batches)
-        most_right, _, best_right, best_left = (table.column(c).to_numpy().astype(np.int64) for c in BEST)
+        n_right, n_left = ((x != 0).sum(axis=1) for x in (right, left))
+        most_right, _, best_right, best_left = (
+            np.minimum(table.column(c).to_numpy(), n) for c, n in zip(BEST, (n_right, n_left, n_right, n_left)))
         group = np.concatenate([[0], np.cumsum((right[1:, :k] != right[:-1, :k]).any(axis=1))])
         a, b = _nearest(doc, group)
         ahead, back = _agreement(right[a], right[b]), _agreement(left[a], left[b])
@@ -304,25 +307,49 @@ def _runs(passage: int, wanted: np.ndarray | None, missing: bool):
 RUNS = "run long, doc long, text long, first int"
 
 
-def _across(edges: DataFrame, parts: int, passage: int, k: int) -> list[DataFrame]:
+def _classes(suffixes: DataFrame, passage: int) -> DataFrame:
+    """Equal suffixes as one row: ``text`` is ``klass``, ``place`` 0 and ``doc`` their document, or ``many`` if they have several.
+
+    Those of several documents agree with each other in all their words, so nothing else can add to them.
+    """
+    several = F.col("low") < F.col("high")
+    grouped = suffixes.groupBy("right", "left").agg(
+        F.min("doc").alias("low"), F.max("doc").alias("high"), F.min("most_right").alias("most_right"),
+        F.min("most_left").alias("most_left"), F.max("best_right").alias("best_right"), F.max("best_left").alias("best_left"))
+    return grouped.select(
+        F.when(several, F.xxhash64("right", "left")).otherwise(F.col("low")).alias("doc"), F.xxhash64("left", "right").alias("text"),
+        F.lit(0).alias("place"), "right", "left", *(F.when(several, passage).otherwise(F.col(c)).alias(c) for c in BEST))
+
+
+def _across(edges: DataFrame, parts: int, passage: int, k: int) -> DataFrame:
     """Spans of the suffixes whose first words lie in more than one range partition; ``edges`` has ``part``, the partition."""
-    edges = edges.withColumn("gram", F.substring("right", 1, 4 * k))
+    first_words = F.substring("right", 1, 4 * k).alias("gram")
+    edges = edges.select("*", first_words)
     split = edges.groupBy("gram").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("gram")
-    split = written(edges.join(broadcast_if_small(written(split, "split")), "gram"), "across")
-    order = ["gram", "left", F.xxhash64("doc", "place", "text")]
-    again = split.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    members = edges.join(broadcast_if_small(written(split, "split")), "gram").select(
+        "doc", "text", "place", "right", "left", *BEST, F.xxhash64("left", "right").alias("klass"), F.xxhash64("right", "left").alias("many"))
+    members = written(members, "across")
+    classes = written(_classes(members, passage).select("*", first_words), "classes")
+    order = ["gram", "left", F.xxhash64("doc", "text")]
+    again = classes.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     found = written(again.select("doc", "text", "place", "right", "left", *BEST).mapInArrow(_compare_back(passage, k), FOUND), "back")
     spans = found.where("first is not null")
-    open_ = found.where("first is null").withColumn("gram", F.substring("right", 1, 4 * k))
+    open_ = found.where("first is null").select("*", first_words)
     asked = written(open_.mapInArrow(_runs(passage, None, True), RUNS), "asked")
     hashes = asked.select("run").distinct()
     few = hashes.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     wanted = hashes.toArrow().column("run").to_numpy() if few else None
-    partners = split.join(broadcast_if_small(written(open_.select("gram").distinct(), "open")), "gram", "left_semi")
+    partners = classes.join(broadcast_if_small(written(open_.select("gram").distinct(), "open")), "gram", "left_semi")
     runs = partners.mapInArrow(_runs(passage, wanted, False), RUNS)
     repeated = runs.groupBy("run").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("run")
     more = asked.join(written(repeated, "runs"), "run").select("doc", "text", "first", (F.col("first") + passage).alias("last"))
-    return [spans, more]
+    # All ranges of a class meet at the suffix's place, so they are one range.
+    ranges = spans.select("doc", "text", "first", "last").unionByName(more).groupBy("doc", "text").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"))
+    ranges = ranges.withColumnsRenamed({"doc": "_doc", "text": "_klass"})
+    same = (F.col("klass") == F.col("_klass")) & F.col("_doc").isin(F.col("doc"), F.col("many"))
+    return members.join(ranges, same).select(
+        "doc", "text", (F.col("place") + F.col("first")).alias("first"), (F.col("place") + F.col("last")).alias("last"))
 
 
 def repeated_spans(docs: DataFrame, passage: int = PASSAGE, k: int = K) -> DataFrame:
@@ -350,9 +377,7 @@ def repeated_spans(docs: DataFrame, passage: int = PASSAGE, k: int = K) -> DataF
     found = written(matches, "matches")
     spans = ["doc", "text", "first", "last"]
     result = found.where("first is not null").select(*spans)
-    for more in _across(found.where("first is null"), parts, passage, k):
-        result = result.unionByName(more.select(*spans))
-    return result
+    return result.unionByName(_across(found.where("first is null"), parts, passage, k))
 
 
 def merged(spans: DataFrame) -> DataFrame:

@@ -159,6 +159,8 @@ def test_repeats_of_a_passage_that_fills_many_partitions(spark):
     rows = [(i, sentence(rng, rng.randint(30, 60)) + " " + common + " " + sentence(rng, rng.randint(0, 40)), "en", "a") for i in range(150)]
     rows += [(1000 + i, f"{own[i % 40]} {common}", "en", "a") for i in range(80)]  # two copies each
     rows += [(2000 + i, f"{own[i % 40]} {' '.join(common.split()[:rng.randint(30, 60)])} {sentence(rng, 9)}", "en", "a") for i in range(80)]
+    rows += [(3000 + i, f"{own[i % 2]} {common} {own[3]}", "en", "a") for i in range(60)]  # many copies each
+    rows += [(4000 + i, f"{own[4]} {common}" + i * " x", "en", "a") for i in range(4) for _ in range(2)]  # and repeated rows
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         spark.conf.set("spark.sql.shuffle.partitions", 16)
