@@ -4,13 +4,18 @@ The network predicts each token from the ``SIDE`` tokens on either side, never f
 and token, and the output is a class of tokens and a member of the class, two small softmaxes instead of one over the
 whole vocabulary.  A document's score is the sum of the log-probabilities of all its tokens given their surroundings.
 
-The vocabulary is counted over all documents.  Training is data-parallel: in each round every partition trains a
+All words are counted over all documents.  The most frequent ones are tokens of their own, the others fall into one of ``SPARE``
+tokens by hash.  Such a word's probability is that of its token times its share of the token's occurrences; these shares stay
+a distributed table, which is met with the rare words of each document.  A word that was not counted gets the
+share of one further occurrence, less than any that was; the probabilities of the counted words add up to 1.
+
+Training is data-parallel: in each round every partition trains a
 copy of the network by mini-batches on every ``STRIDE``-th token of its documents, each round on others, so that all rounds together
 have every token as a target once; the copies are averaged, weighted by their examples, a fixed number at a time, until one is left.  What is gathered thus grows with the corpus, and no task or
 driver holds more than a fixed number of networks.
 
-Words are runs of letters and digits (all bytes above ASCII count as letters) with A-Z lower-cased; those outside the vocabulary
-fall into one of ``SPARE`` tokens by hash.
+Words are runs of letters and digits (all bytes above ASCII count as letters) with A-Z lower-cased, and are told apart by 64-bit
+hashes.
 
 Defined results: null or wordless text has no tokens, log-likelihood 0 and a null mean; every row is scored by itself; without any
 token at all the network stays as it began; an empty table gives an empty result; only ``doc_id, text`` are read.
@@ -23,7 +28,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from lakefold.llm.common import written
@@ -187,13 +192,13 @@ def _class_runs(of: np.ndarray, classes: int) -> Iterator[tuple[int, int, int]]:
 
 
 def tokens_of(text: np.ndarray, starts: np.ndarray, vocabulary: np.ndarray, token: np.ndarray, shape: Shape):
-    """Token and document of each word; ``vocabulary`` has sorted word hashes and ``token`` their tokens."""
+    """Token, document and hash of each word; ``vocabulary`` has sorted word hashes and ``token`` their tokens."""
     hashes, first, _ = word_hashes(text, fold_table(SEPARATORS))
     spare = shape.known + (hashes % np.uint64(shape.spare)).astype(np.int64)
     if len(vocabulary):
         at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
         spare = np.where(vocabulary[at] == hashes, token[at], spare)
-    return spare, np.searchsorted(starts, first, side="right") - 1
+    return spare, np.searchsorted(starts, first, side="right") - 1, hashes
 
 
 def spaced(tokens: np.ndarray, doc: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
@@ -224,12 +229,28 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return found.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vocabulary(docs: DataFrame, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of the most frequent words, and their tokens, which are in order of frequency."""
-    rows = word_counts(docs).orderBy(F.col("n").desc(), "word").limit(shape.known).collect()
-    words = np.array([r["word"] for r in rows], np.int64).view(np.uint64)
-    order = np.argsort(words)
-    return words[order], order
+def vocabulary(counts: DataFrame, shape: Shape) -> list[Row]:
+    """The most frequent words, which are tokens of their own, in order of frequency."""
+    return counts.orderBy(F.col("n").desc(), "word").limit(shape.known).collect()
+
+
+def spare_token(word: Column, shape: Shape) -> Column:
+    """Which of the ``spare`` tokens a word has; hashes are unsigned, longs are not."""
+    signed = F.pmod(word, F.lit(shape.spare))
+    return F.when(word < 0, F.pmod(signed + (1 << 64) % shape.spare, F.lit(shape.spare))).otherwise(signed)
+
+
+def rare_words(counts: DataFrame, known: list[Row], shape: Shape) -> tuple[DataFrame, np.ndarray]:
+    """``word, log_share`` of the counted words outside the vocabulary, and the logarithm of an uncounted word's share in each spare token."""
+    # The vocabulary is a beginning of the counts in their order, so its last word tells which words are in it.
+    last = known[-1] if len(known) == shape.known else Row(word=0, n=0)
+    outside = (F.col("n") < last["n"]) | ((F.col("n") == last["n"]) & (F.col("word") > last["word"]))
+    rare = counts.where(outside).withColumn("token", spare_token(F.col("word"), shape))
+    totals = np.zeros(shape.spare)
+    for row in rare.groupBy("token").agg(F.sum("n").alias("n")).collect():  # one row per spare token
+        totals[row["token"]] = row["n"]
+    total = F.element_at(F.array(*map(F.lit, totals.tolist())), (F.col("token") + 1).cast("int"))
+    return rare.select("word", F.log(F.col("n") / total).alias("log_share")), -np.log1p(totals)
 
 
 def targets(doc: np.ndarray, starts: np.ndarray, number: int, stride: int) -> np.ndarray:
@@ -250,7 +271,7 @@ def _trained(docs: DataFrame, network: Network, words, number: int, stride: int)
         for batch in batches:
             shard = batch.column("shard")[0].as_py() if shard is None and len(batch) else shard
             for _, _, text, starts in text_slices(batch.column("text"), SLICE):
-                tokens, doc = tokens_of(text, starts, known, token, shape)
+                tokens, doc, _ = tokens_of(text, starts, known, token, shape)
                 at = targets(doc, starts, number, stride)
                 padded, place = spaced(tokens, doc, shape)
                 for i in range(0, len(at), BATCH):
@@ -291,20 +312,37 @@ def averaged(copies: DataFrame) -> bytes | None:
 @dataclass(frozen=True)
 class Model:
     network: Network
-    words: tuple[np.ndarray, np.ndarray]
+    words: tuple[np.ndarray, np.ndarray]  # sorted hashes of the vocabulary, and their tokens
+    shares: DataFrame
+    uncounted: np.ndarray
 
 
 def fit(docs: DataFrame, shape: Shape = Shape(), rounds: int = ROUNDS, stride: int = STRIDE) -> Model:
-    words = vocabulary(docs, shape)
+    counts = written(word_counts(docs), "counts")
+    known = vocabulary(counts, shape)
+    hashes = np.array([r["word"] for r in known], np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    words = hashes[order], order
     network = Network.begin(shape)
     for number in range(rounds):
         found = averaged(_trained(docs, network, words, number, stride))
         network = Network.unpacked(shape, found) if found else network
-    return Model(network, words)
+    return Model(network, words, *rare_words(counts, known, shape))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, n_tokens, log_likelihood, mean_log_likelihood``, one row per row of ``docs``."""
+def _rare_of(tokens: np.ndarray, doc: np.ndarray, hashes: np.ndarray, n_docs: int, shape: Shape) -> pa.ListArray:
+    """Per document its words outside the vocabulary, each once with its number."""
+    rare = np.flatnonzero(tokens >= shape.known)
+    rare = rare[np.lexsort((hashes[rare], doc[rare]))]
+    word, of = hashes[rare], doc[rare]
+    begin = np.flatnonzero((np.diff(word, prepend=word[:1]) != 0) | (np.diff(of, prepend=-1) != 0))
+    pairs = pa.StructArray.from_arrays(
+        [pa.array(word[begin].view(np.int64)), pa.array(np.diff(begin, append=len(rare)).astype(np.int64))], ["word", "n"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(of[begin], np.arange(n_docs + 1)).astype(np.int32)), pairs)
+
+
+def token_scores(docs: DataFrame, model: Model) -> DataFrame:
+    """``doc_id, n_tokens, log_likelihood, rare`` of the tokens alone, with the words outside the vocabulary as ``word, n``."""
     shape = model.network.shape
     shared = docs.sparkSession.sparkContext.broadcast((model.network.packed(), *model.words))
 
@@ -313,18 +351,37 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         network = Network.unpacked(shape, data)
         for batch in batches:
             for first, last, text, starts in text_slices(batch.column("text"), SLICE):
-                tokens, doc = tokens_of(text, starts, known, token, shape)
+                tokens, doc, hashes = tokens_of(text, starts, known, token, shape)
                 found, (padded, place) = np.zeros(len(tokens)), spaced(tokens, doc, shape)
                 for i in range(0, len(tokens), SCORED):
                     at = slice(i, i + SCORED)
                     found[at] = network.log_probabilities(windows(padded, place[at], shape), tokens[at])
                 n = np.bincount(doc, minlength=last - first)
-                total = np.bincount(doc, found, minlength=last - first)
-                mean = [t / k if k else None for t, k in zip(total.tolist(), n.tolist())]
+                # Of no words at all, numpy counts in whole numbers.
+                total = np.bincount(doc, found, minlength=last - first).astype(np.float64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, last - first), pa.array(n), pa.array(total), pa.array(mean, pa.float64())],
-                    ["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"])
+                    [batch.column("doc_id").slice(first, last - first), pa.array(n), pa.array(total),
+                     _rare_of(tokens, doc, hashes, last - first, shape)],
+                    ["doc_id", "n_tokens", "log_likelihood", "rare"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_tokens long, log_likelihood double, mean_log_likelihood double")
+        run, f"doc_id {kind}, n_tokens long, log_likelihood double, rare array<struct<word: bigint, n: bigint>>")
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """``doc_id, n_tokens, log_likelihood, mean_log_likelihood``, one row per row of ``docs``."""
+    # Written once, so that a row keeps its number whatever is lost later.
+    rows = written(token_scores(docs, model).withColumn("row", F.monotonically_increasing_id()), "token_scores")
+    uncounted = F.array(*map(F.lit, model.uncounted.tolist()))
+    unseen = F.element_at(uncounted, (spare_token(F.col("word"), model.network.shape) + 1).cast("int"))
+    # Words outside the vocabulary are rarer than each one in it, so no key of this join is a hot one.
+    shares = (
+        rows.select("row", F.inline("rare")).join(model.shares, "word", "left")
+        .groupBy("row").agg(F.sum(F.col("n") * F.coalesce("log_share", unseen)).alias("of_rare"))
+    )
+    total = F.col("log_likelihood") + F.coalesce("of_rare", F.lit(0.0))
+    return rows.join(shares, "row", "left").select(
+        "doc_id", "n_tokens", total.alias("log_likelihood"),
+        F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_likelihood"),
+    )

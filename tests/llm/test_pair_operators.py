@@ -3,10 +3,13 @@
 import base64
 import hashlib
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
-from helpers import awkward_rows, components, documents, sentence, shingles, words
+from helpers import TO_LOWER, awkward_rows, components, documents, sentence, shingles, words
+from pyspark.sql import functions as F
 
 from lakefold.llm import components as graph
 from lakefold.llm import embedding_dedup, lm_score, ngram_join, suffix_dedup, warc
@@ -207,13 +210,25 @@ def test_scores_are_sums_over_tokens(spark):
     got = {(r.doc_id, r.n_tokens): r for r in lm_score.score(docs, model).collect()}
     known = {int(w): int(t) for w, t in zip(*model.words)}
     assert len(known) == SMALL.known
-    for doc_id, text, *_ in rows:
+    parsed = {}
+    for i, (_, text, *_) in enumerate(rows):
         data = np.concatenate([np.frombuffer((text or "").encode(), np.uint8), [SEPARATOR]]).astype(np.uint8)
-        tokens, _ = lm_score.tokens_of(data, np.array([0, len(data)]), *model.words, SMALL)
+        tokens, _, _ = lm_score.tokens_of(data, np.array([0, len(data)]), *model.words, SMALL)
+        parsed[i] = tokens, re.findall(r"[a-z0-9\x80-\U0010ffff]+", (text or "").translate(TO_LOWER))
+        assert len(tokens) == len(parsed[i][1])
+    token_of = {w: int(t) for tokens, plain in parsed.values() for t, w in zip(tokens, plain)}
+    counts = Counter(w for _, plain in parsed.values() for w in plain)
+    assert min(counts[w] for w, t in token_of.items() if t < SMALL.known) >= max(counts[w] for w, t in token_of.items() if t >= SMALL.known)
+    in_token = Counter()
+    for w, n in counts.items():
+        in_token[token_of[w]] += n
+    for i, (doc_id, text, *_) in enumerate(rows):
+        tokens, plain = parsed[i]
         total = 0.0
         for i, token in enumerate(tokens):
             around = [tokens[i + k] if 0 <= i + k < len(tokens) else SMALL.tokens for k in (-2, -1, 1, 2)]
             total += float(model.network.log_probabilities(np.array(around)[:, None], np.array([token]))[0]) if len(tokens) < 200 else 0
+        total += sum(np.log(counts[w] / in_token[token_of[w]]) for w in plain)
         row = got[(doc_id, len(tokens))]
         if len(tokens) < 200:
             assert row.log_likelihood == pytest.approx(total, abs=1e-2)
@@ -225,6 +240,24 @@ def test_scores_are_sums_over_tokens(spark):
     assert lm_score.score(empty, lm_score.fit(empty, SMALL)).count() == 0
 
 
+def test_rare_words_have_probabilities_of_their_own(spark):
+    rng = random.Random(12)
+    rare = [sentence(rng, 1) + str(i) for i in range(60)]
+    rows = [(i, " ".join(["the cat sat on a mat and then"] * 3 + rng.sample(rare, 12)), "en", "a") for i in range(100)]
+    model = lm_score.fit(documents(spark, rows), SMALL, rounds=1)
+    shares = {}
+    for row in model.shares.withColumn("token", lm_score.spare_token(F.col("word"), SMALL)).collect():
+        shares.setdefault(row.token, []).append(np.exp(row.log_share))
+        assert row.token == (row.word % (1 << 64)) % SMALL.spare
+    assert all(sum(s) == pytest.approx(1) for s in shares.values())
+    assert all(np.exp(model.uncounted[t]) < min(s) for t, s in shares.items())
+    # Of equally many words with the same tokens, those that were counted are likelier.
+    new = [(0, " ".join(rare[:20]), "en", "a"), (1, " ".join("unseen" + str(i) for i in range(20)), "en", "a"), (1, None, None, None)]
+    real, gibberish, nothing = sorted(lm_score.score(documents(spark, new), model).collect(), key=lambda r: (-r.n_tokens, r.doc_id))
+    assert real.mean_log_likelihood > gibberish.mean_log_likelihood
+    assert nothing.log_likelihood == 0 and nothing.mean_log_likelihood is None
+
+
 def test_every_token_is_a_target_once(spark):
     rng = random.Random(8)
     rows = [(i, sentence(rng, i % 40), "en", "a") for i in range(300)]
