@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import DataFrameReader
+from pyspark.sql import functions as F
 
 from lakefold.__main__ import batch_config, ingest_config, parse
 from lakefold.entities import CUSTOMERS, ENTITIES, ORDER_ITEMS, ORDERS
@@ -19,7 +20,7 @@ from lakefold.plans.processing import (
     load_current,
     process_changes,
 )
-from lakefold.session import scratch_root
+from lakefold.session import SHUFFLE_CLEANUP, scratch_root, short_shuffles
 from lakefold.sinks.tables import published, read_result
 from lakefold.sources.events import MESSAGE_SCHEMA, FileEvents
 from lakefold.sources.lake import path_exists, read_position, read_processed
@@ -292,3 +293,18 @@ def test_command_line(spark):
         batch_config(parse(["batch", "--lake", "/lake", "--fold-key", "nothing=x"]))
     options = parse(["batch", "--lake", "/lake", "--follow", "full", "--no-audit"])
     assert batch_config(options).follow == FULL and not batch_config(options).audit
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+
+def test_a_job_leaves_no_shuffle_files(spark, root):
+    deliver(spark, root, ORDERS, order(1, customer_id=1), order(2, lsn=2, customer_id=1))
+    before = shuffle_files(spark), spark.conf.get(SHUFFLE_CLEANUP)
+    ingest(spark, root, ORDERS)
+    assert shuffle_files(spark) <= before[0] and spark.conf.get(SHUFFLE_CLEANUP) == before[1]
+    with short_shuffles(spark):
+        spark.range(100).groupBy(F.col("id") % 7).count().collect()
+    assert shuffle_files(spark) <= before[0]
