@@ -8,7 +8,8 @@ words that follow and by those that precede, and matches are extended to the rig
 the union of what they cover is the whole passage.
 
 Suffixes whose first words lie in more than one range partition are reduced to classes of equal ones, which are sorted again by what
-precedes; members get the ranges of their class.  A class of several documents is settled by itself.  The nearest ones of both orders bound
+precedes; members get the ranges of their class, but for those whose matches in their partition already reach as far as their words: of
+these, two of equal ones stand for their class.  A class of several documents is settled by itself.  The nearest ones of both orders bound
 how far a suffix can agree with any other; where no match has met the bound, or a partition ended before a neighbour of another document, all
 runs of ``PASSAGE`` words around the suffix that could still add something are looked up, by hash, among those of all suffixes with these first words.
 
@@ -214,30 +215,49 @@ def _columns(batches) -> tuple | None:
     return doc, text, place, right, left
 
 
-def _rows_found(columns: tuple, passage: int, kept: np.ndarray, bounds: list[np.ndarray]) -> pa.RecordBatch:
-    """Spans of the rows that match, and the suffixes ``kept`` with their ``bounds``."""
+def _ends(doc: np.ndarray, right: np.ndarray, left: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Of the ``rows`` with equal words on both sides, those of the smallest and the largest document."""
+    if len(rows) == 0:
+        return rows
+    both = np.concatenate([right[rows], left[rows]], axis=1)
+    words = both.view(f"S{4 * both.shape[1]}").reshape(-1)
+    order = np.lexsort((doc[rows], words))
+    cuts = np.flatnonzero(words[order[1:]] != words[order[:-1]])
+    return rows[order[np.unique(np.concatenate([[0], cuts, cuts + 1, [len(order) - 1]]))]]
+
+
+def _rows_found(columns: tuple, passage: int, kept: np.ndarray, bounds: list[np.ndarray], settled: np.ndarray | None = None) -> pa.RecordBatch:
+    """Spans of the rows that match, and the suffixes ``kept`` with their ``bounds``; ``settled`` ones have no place."""
     doc, text, place, right, left = columns
     best_right, best_left = bounds[2:]
     rows = np.flatnonzero(best_left + best_right >= passage)
     spans, others = [None] * len(rows), [None] * len(kept)
+    no_place = np.zeros(len(kept), bool) if settled is None else settled[kept]
     return pa.RecordBatch.from_arrays([
         pa.array(np.concatenate([doc[rows], doc[kept]])), pa.array(np.concatenate([text[rows], text[kept]])),
         pa.array((place - best_left)[rows].tolist() + others, pa.int32()), pa.array((place + best_right)[rows].tolist() + others, pa.int32()),
-        pa.array(spans + place[kept].tolist(), pa.int32()),
+        pa.array(spans + [None if done else p for p, done in zip(place[kept].tolist(), no_place)], pa.int32()),
         *[pa.array(spans + [w.tobytes() for w in x[kept]], pa.binary()) for x in (right, left)],
         *[pa.array(spans + x[kept].tolist(), pa.int32()) for x in bounds],
     ], ["doc", "text", "first", "last", "place", "right", "left", *BEST])
 
 
 def _compare(passage: int, k: int):
-    """Spans, and the suffixes of the first and last group of each range partition, which may go on in the next."""
+    """Spans, and the suffixes of the first and last group of each range partition, which may go on in the next.
+
+    A suffix whose matches reach as far as its words is settled: no other can add to its span.  Settled ones only go on to stand for
+    their class, without a place, and two of equal ones tell all that counts of it, however many copies there are.
+    """
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not (columns := _columns(list(batches))):
             return
         doc, _, _, right, left = columns
         group, most_right, best_right, best_left = _matches(doc, right, left, passage, k)
-        kept = np.flatnonzero((group == group[0]) | (group == group[-1]))
-        yield _rows_found(columns, passage, kept, [most_right, (left != 0).sum(axis=1), best_right, best_left])
+        n_right, n_left = ((x != 0).sum(axis=1) for x in (right, left))
+        settled = (best_right >= n_right) & (best_left >= n_left) & (best_right + best_left >= passage)
+        edge = (group == group[0]) | (group == group[-1])
+        kept = np.concatenate([np.flatnonzero(edge & ~settled), _ends(doc, right, left, np.flatnonzero(edge & settled))])
+        yield _rows_found(columns, passage, kept, [most_right, n_left, best_right, best_left], settled)
 
     return compare
 
@@ -348,7 +368,7 @@ def _across(edges: DataFrame, parts: int, passage: int, k: int) -> DataFrame:
         F.min("first").alias("first"), F.max("last").alias("last"))
     ranges = ranges.withColumnsRenamed({"doc": "_doc", "text": "_klass"})
     same = (F.col("klass") == F.col("_klass")) & F.col("_doc").isin(F.col("doc"), F.col("many"))
-    return members.join(ranges, same).select(
+    return members.where("place is not null").join(ranges, same).select(
         "doc", "text", (F.col("place") + F.col("first")).alias("first"), (F.col("place") + F.col("last")).alias("last"))
 
 

@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import TO_LOWER, awkward_rows, components, documents, sentence, shingles, words
 from pyspark.sql import functions as F
@@ -311,3 +312,19 @@ def test_broken_archives_are_reported():
         list(warc.parse_records(iter([good[:-6]])))
     with pytest.raises(ValueError):
         list(warc.parse_records(iter([b"HTTP/1.1 200\r\n\r\n"])))
+
+
+def test_settled_copies_do_not_go_on(spark):
+    """Suffixes whose partition has shown their whole span go on as two of equal ones, however many copies there are."""
+    def suffixes(copies):
+        words = (np.arange(1, 101, dtype=">u4"), np.arange(201, 301, dtype=">u4"))
+        right, left = ([w[:50].tobytes()] * copies for w in words)
+        docs = list(range(copies))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(docs, pa.int64()), pa.array(docs, pa.int64()), pa.array([60] * copies, pa.int32()), pa.array(right), pa.array(left)],
+            ["doc", "text", "place", "right", "left"])
+
+    found = [pa.Table.from_batches(suffix_dedup._compare(50, 8)(iter([suffixes(n)]))).to_pylist() for n in (10, 500)]
+    for n, rows in zip((10, 500), found):
+        assert sorted((r["doc"], r["first"], r["last"]) for r in rows if r["first"] is not None) == [(d, 10, 110) for d in range(n)]
+        assert [(r["doc"], r["place"]) for r in rows if r["first"] is None] == [(0, None), (n - 1, None)]
