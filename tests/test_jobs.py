@@ -1,5 +1,6 @@
 import glob
 import json
+import os
 from datetime import datetime
 from decimal import Decimal
 
@@ -23,7 +24,7 @@ from lakefold.plans.processing import (
 from lakefold.session import SHUFFLE_CLEANUP, scratch_root, short_shuffles
 from lakefold.sinks.tables import published, read_result
 from lakefold.sources.events import MESSAGE_SCHEMA, FileEvents
-from lakefold.sources.lake import path_exists, read_position, read_processed
+from lakefold.sources.lake import append_metrics, path_exists, read_metrics, read_position, read_processed
 from lakefold.streaming.ingest import IngestConfig
 
 DAY_US = 86_400_000_000
@@ -308,3 +309,31 @@ def test_a_job_leaves_no_shuffle_files(spark, root):
     with short_shuffles(spark):
         spark.range(100).groupBy(F.col("id") % 7).count().collect()
     assert shuffle_files(spark) <= before[0]
+
+
+def test_bounded_batches_are_compressed_and_end_their_events(spark, root):
+    """A micro-batch takes files up to a number of bytes; ``cleanSource`` removes what is in the lake."""
+    for key in (1, 2, 3):
+        deliver(spark, root, ORDERS, order(key, lsn=key))
+    source = FileEvents(f"{root}/events", options={"cleanSource": "delete"}, max_bytes_per_batch=1)
+    config = IngestConfig(
+        source=source, raw_root=f"{root}/raw", checkpoint_root=f"{root}/stream", metrics_root=f"{root}/metrics", trigger_every=None)
+    run_ingest(spark, config, [ORDERS])
+    assert read_metrics(spark, f"{root}/metrics").count() == 3
+    assert process(spark, root) == 3
+    assert ids(load_current(spark, ORDERS, f"{root}/processed")) == [1, 2, 3]
+    local = root.removeprefix("file:")
+    for area in ("raw", "processed"):
+        files = glob.glob(f"{local}/{area}/**/part-*", recursive=True)
+        assert files and all(f.endswith(".zstd.parquet") for f in files)
+    assert len(glob.glob(f"{local}/events/orders/part-*")) < 3
+
+
+def test_metrics_of_an_entity_leave_the_writes_of_others_alone(spark, root):
+    """Streams end their batches at the same time; what another has begun in the shared folder must stay."""
+    begun = os.path.join(root.removeprefix("file:"), "metrics", "_temporary", "0", "task")
+    os.makedirs(begun)
+    row = {"entity": "orders", "ingest_batch": 0, "run": "r", "run_batch": 0, "attempt": "a", "accepted_rows": 1, "rejected_rows": 0}
+    append_metrics(spark, f"{root}/metrics", row)
+    assert os.path.isdir(begun)
+    assert [(r.entity, r.accepted_rows) for r in read_metrics(spark, f"{root}/metrics").collect()] == [("orders", 1)]
